@@ -84,14 +84,10 @@ def higher_is_better(metric: str) -> bool:
 def flag_best(comparison: DataFrame, metric: str = "test_rmse") -> DataFrame:
     """(model, value, best): the model to highlight, the first name on ties."""
     value = F.col(metric)
-    top = _top_value(comparison, metric)
-    best = comparison.where(F.col(metric).isNotNull()).join(F.broadcast(top), F.col(metric) == F.col("_top")).agg(F.min("model").alias("_best"))
-    return comparison.join(F.broadcast(best)).select("model", value.alias("value"), F.coalesce(F.col("model") == F.col("_best"), F.lit(False)).alias("best"))
-
-
-def _top_value(comparison: DataFrame, metric: str) -> DataFrame:
-    top = F.max(metric) if higher_is_better(metric) else F.min(metric)
-    return comparison.agg(top.alias("_top"))
+    top = comparison.agg((F.max if higher_is_better(metric) else F.min)(metric)).scalar()
+    best = comparison.where(value == top).agg(F.min("model")).scalar()
+    is_best = F.coalesce(F.col("model") == best, F.lit(False))
+    return comparison.select("model", value.alias("value"), is_best.alias("best"))
 
 
 def best_name(test_metrics: Mapping[str, Mapping[str, float]], metric: str = "test_rmse") -> str:

@@ -261,8 +261,9 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, against: S
     cov = F.expr("sxy - try_divide(sx * sy, n)")
     # a constant column leaves only rounding noise of its shift
     live = (vx > F.col("sxx") * 1e-14) & (vy > F.col("syy") * 1e-14)
-    corr = F.when(live, F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))))
-    return flat.select("col_a", "col_b", F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0)).alias("corr"))
+    corr = F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0))))
+    bounded = F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr)
+    return flat.select("col_a", "col_b", F.when(live, bounded).alias("corr"))
 
 
 def correlations_with(df: DataFrame, column: str, columns: Sequence[str] | None = None, top: int | None = 5) -> DataFrame:
@@ -278,6 +279,5 @@ def split_summary(df: DataFrame, target: str, column: str = "split") -> DataFram
     parts = df.groupBy(column).agg(
         F.count(F.lit(1)).alias("rows"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std")
     )
-    total = parts.agg(F.sum("rows").alias("total"))
-    share = F.col("rows") / F.col("total") * 100
-    return parts.join(F.broadcast(total)).select(column, "rows", share.alias("percent"), "mean", "std")
+    share = F.col("rows") / parts.agg(F.sum("rows")).scalar() * 100
+    return parts.select(column, "rows", share.alias("percent"), "mean", "std")
