@@ -31,8 +31,7 @@ def missing_to_null(df: DataFrame) -> DataFrame:
 
 def as_double(name: str) -> Column:
     """A feature as a double with NaN read as NULL."""
-    value = quoted(name).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(quoted(name).cast("double"), F.lit(None).cast("double"))
 
 
 def safe_div(num: Column, den: Column, mode: str = "null") -> Column:
@@ -40,9 +39,12 @@ def safe_div(num: Column, den: Column, mode: str = "null") -> Column:
 
     ``null``: a zero denominator gives NULL, what MLlib and the later stages want.
     ``ieee``: it gives infinity or NaN, as arrays of doubles do.
+    ``zero``: it gives 0, for models that take no missing values.
     """
     if mode == "null":
         return F.try_divide(num, den)
+    if mode == "zero":
+        return F.when(den == 0, F.when(num.isNotNull(), 0.0)).otherwise(F.try_divide(num, den))
     if mode == "ieee":
         at_zero = (
             F.when(num > 0, F.lit(float("inf"))).when(num < 0, F.lit(float("-inf"))).when(num.isNotNull(), F.lit(float("nan")))

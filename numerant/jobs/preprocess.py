@@ -24,6 +24,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--key", nargs="+", default=[ROW_ID], help="columns handed through unchanged")
     p.add_argument("--no-feature-engineering", action="store_true")
     p.add_argument("--winsor-mode", choices=["per_batch", "fitted"], default="per_batch")
+    p.add_argument("--zero-division", choices=["null", "zero", "ieee"], default="null", help="a housing ratio over zero")
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     return p.parse_args(argv)
 
@@ -39,7 +40,7 @@ def preprocess(spark, args) -> None:
     log.info("features out: %s", preprocessor.get_feature_names_out())
     engineering = config.get("feature_engineering")
     if engineering and not args.no_feature_engineering:
-        engineer = FeatureEngineer(engineering, passthrough, preprocessor.get_feature_names_out()).fit(parts["train"])
+        engineer = FeatureEngineer(engineering, passthrough, preprocessor.get_feature_names_out(), args.zero_division).fit(parts["train"])
         parts = {k: engineer.transform(v) for k, v in parts.items()}
         engineer.save(f"{base}/feature_engineer")
         log.info("features added: %s", [c for c in engineer.get_feature_names_out() if c not in engineer.feature_names_in_])

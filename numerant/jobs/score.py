@@ -5,6 +5,9 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.errors import AnalysisException
+
+from ..functions.rules import HOUSING_SCHEMA
 from ..plans.scoring import Scorer, invalid_rows, valid_rows, validate
 from ..session import cached
 from ..sources.tables import read_table
@@ -35,8 +38,12 @@ def score(spark, args) -> None:
     )
     quarantine = args.quarantine or f"{args.output.rstrip('/')}_invalid"
     if args.stream:
+        try:
+            schema = spark.read.parquet(args.input).schema  # as the files that are there have it
+        except AnalysisException:
+            schema = HOUSING_SCHEMA
         query = start_scoring(
-            read_requests(spark, args.input), scorer, args.output, quarantine, args.checkpoint or f"{args.output.rstrip('/')}_checkpoint",
+            read_requests(spark, args.input, schema=schema), scorer, args.output, quarantine, args.checkpoint or f"{args.output.rstrip('/')}_checkpoint",
             args.keep, trigger={"availableNow": True} if args.once else None,
         )
         query.awaitTermination()

@@ -85,8 +85,7 @@ def ordinal(df: DataFrame, expr: str | Column) -> tuple[Column, bool]:
     col = F.col(f"`{expr}`") if isinstance(expr, str) else expr
     kind = df.select(col.alias("x")).schema[0].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        value = col.cast("double")
-        return F.when(~F.isnan(value), value), False
+        return F.nanvl(col.cast("double"), F.lit(None).cast("double")), False
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
         return col.cast("bigint"), True
     if isinstance(kind, T.TimestampNTZType):
@@ -251,7 +250,8 @@ def _count_buckets(
             )
         )
         any_inside = inside if any_inside is None else any_inside | inside
-    rows = data.where(any_inside).select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+    # A filter before the explode would be pushed down and compute the input columns twice.
+    rows = data.select(F.explode(F.when(any_inside, F.array(*entries))).alias("e")).where("e IS NOT NULL")
     counted = (
         rows.groupBy("e.b", "e.k", "e.kl", "e.kd")
         .agg(F.count(F.lit(1)), F.min("e.l"), F.max("e.l"), F.min("e.d"), F.max("e.d"))

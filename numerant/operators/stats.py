@@ -206,7 +206,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     cells = []
     for c, (lo, hi) in edges.items():
         part = F.floor((as_double(c) - F.lit(lo)) / F.lit(hi - lo) * bins)
-        cells.append(F.struct(F.lit(c).alias("column"), F.least(part, F.lit(bins - 1)).cast("int").alias("bin")))
+        part = F.when(part < bins, part).when(part >= bins, bins - 1).cast("int")
+        cells.append(F.struct(F.lit(c).alias("column"), part.alias("bin")))
     counted = (
         df.select(F.explode(F.array(*cells)).alias("e"))
         .where("e.bin IS NOT NULL")
@@ -223,47 +224,37 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, against: Sequence[str] | None = None) -> DataFrame:
     """(col_a, col_b, corr): Pearson over the rows where both are present, NULL for a constant column.
 
-    Each row is spread to one cell per column and combined map-side into (number of columns) rows
-    of sums, so the aggregate stays small in code and in shuffle. Values are shifted by the column
-    mean first, which keeps the sums of products accurate.
+    Each row is spread to one cell per column of ``against`` and combined map-side into one row of
+    sums per such column, so the aggregate stays small in code and in shuffle. Values are shifted
+    by the column mean first, which keeps the sums of products accurate.
     """
     columns = list(columns or numeric_columns(df))
     against = list(against or columns)
-    names = list(dict.fromkeys([*columns, *against]))
-    means = {c: m["mean"] or 0.0 for c, m in moments(df, names).items()}
-    shifted = F.array(*[as_double(c) - F.lit(means[c]) for c in names])
-    cells = df.select(shifted.alias("a")).select("a", F.posexplode("a").alias("i", "x"))
-    left = [names.index(c) for c in against]
-    cells = cells.where(F.col("x").isNotNull() & F.col("i").isin(left))
-    x = F.col("x")
-    aggs = []
-    for j, c in enumerate(names):
-        if c not in columns:
-            continue
+    means = {c: m["mean"] or 0.0 for c, m in moments(df, list(dict.fromkeys([*columns, *against]))).items()}
+
+    def shifted(c: str) -> Column:
+        return as_double(c) - F.lit(means[c])
+
+    data = df.select(
+        F.array(*[shifted(c) for c in columns]).alias("a"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col_a"), shifted(c).alias("x")) for c in against])).alias("e"),
+    ).where("e.x IS NOT NULL")
+    x = F.col("e.x")
+    pairs = []
+    for j, c in enumerate(columns):
         y = F.get("a", F.lit(j))
         both = F.when(y.isNotNull(), x)
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("col_b"),
-                F.count(y).cast("double").alias("n"),
-                F.sum(both).alias("sx"),
-                F.sum(both * both).alias("sxx"),
-                F.sum(y).alias("sy"),
-                F.sum(y * y).alias("syy"),
-                F.sum(x * y).alias("sxy"),
-            )
-        )
-    sums = cells.groupBy("i").agg(F.array(*aggs).alias("s"))
-    label = F.element_at(F.create_map(*[F.lit(v) for i, c in enumerate(names) for v in (i, c)]), F.col("i"))
-    flat = sums.select(label.alias("col_a"), F.inline("s"))
-    vx = F.expr("sxx - try_divide(sx * sx, n)")
-    vy = F.expr("syy - try_divide(sy * sy, n)")
-    cov = F.expr("sxy - try_divide(sx * sy, n)")
-    # a constant column leaves only rounding noise of its shift
+        parts = {"n": F.count(y).cast("double"), "sx": F.sum(both), "sxx": F.sum(both * both), "sy": F.sum(y), "syy": F.sum(y * y), "sxy": F.sum(x * y)}
+        pairs.append(F.struct(F.lit(c).alias("col_b"), *[v.alias(k) for k, v in parts.items()]))
+    sums = data.groupBy("e.col_a").agg(F.array(*pairs).alias("p")).select("col_a", F.inline("p"))
+    vx, vy, cov = (F.expr(f"{p} - try_divide({a} * {b}, n)") for p, a, b in (("sxx", "sx", "sx"), ("syy", "sy", "sy"), ("sxy", "sx", "sy")))
+    # the shift of a constant column leaves nothing but rounding
     live = (vx > F.col("sxx") * 1e-14) & (vy > F.col("syy") * 1e-14)
-    corr = F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0))))
-    bounded = F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr)
-    return flat.select("col_a", "col_b", F.when(live, bounded).alias("corr"))
+    corr = F.when(live, F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))))
+    found = sums.select("col_a", "col_b", F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr).alias("corr"))
+    # a column without any value has no group of its own
+    grid = df.sparkSession.createDataFrame([(a, b) for a in against for b in columns], "col_a string, col_b string")
+    return grid.join(F.broadcast(found), ["col_a", "col_b"], "left").select("col_a", "col_b", "corr")
 
 
 def correlations_with(df: DataFrame, column: str, columns: Sequence[str] | None = None, top: int | None = 5) -> DataFrame:

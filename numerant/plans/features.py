@@ -56,7 +56,7 @@ class InteractionFeatureCreator(FittableStage):
 
 class _Domain(Params):
     mapping = Param(Params._dummy(), "mapping", "input name -> column of the frame", TypeConverters.identity)
-    division = Param(Params._dummy(), "division", "'null' or 'ieee' at a zero denominator", TypeConverters.toString)
+    division = Param(Params._dummy(), "division", "'null', 'ieee' or 'zero' at a zero denominator", TypeConverters.toString)
 
 
 class DomainFeatureModel(FittedStage, _Domain):

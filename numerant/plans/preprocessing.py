@@ -224,6 +224,16 @@ class FeatureScaler(FittableStage, _Scaler, _Method):
         return self._model(features, {c: [m, 1.0 if s <= tiny * size else s] for c, (m, s, size) in stats.items()})
 
 
+def _without_dropped(config: Mapping) -> Mapping:
+    """Treatments of columns that are dropped later cannot show in the output: do not fit them."""
+    gone = set((config.get("handling_correlated_features") or {}).get("remove") or [])
+    out = dict(config)
+    for key in ("handling_na", "handling_outliers"):
+        if gone and config.get(key):
+            out[key] = {s: [c for c in cols or [] if c not in gone] for s, cols in config[key].items()}
+    return out
+
+
 def preprocessing_stages(config: Mapping, features: Sequence[str], **options) -> list[FittableStage]:
     """The stages a configuration asks for, in their fixed order.
 
@@ -232,6 +242,7 @@ def preprocessing_stages(config: Mapping, features: Sequence[str], **options) ->
     """
     method = options.pop("method", "exact")
     stages: list[FittableStage] = []
+    config = _without_dropped(config)
     if "handling_na" in config:
         stages.append(MissingValueHandler(config["handling_na"] or {}, features, method=method))
     if "handling_outliers" in config:

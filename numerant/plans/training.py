@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import numeric_columns, quoted
 from ..operators.metrics import as_dict, best_name, comparison_table, cv_summary, metric_columns, optimisation_gain
 from ..operators.split import assign_folds
+from ..operators.stats import columns_by_missing
 from ..session import cached
 from ..sources.runs import RunLog
 from ..sources.tables import ROW_ID, load_processed_data
@@ -143,9 +144,16 @@ class ModelTrainer:
         }
         return {"model": model, "metadata": metadata}
 
+    def check_complete(self, train: DataFrame) -> None:
+        """Models take no missing values: name the columns before the fits fail on them."""
+        holed, _ = columns_by_missing(train, [*self.features(train), self.target])
+        if holed:
+            raise ValueError(f"missing values in {holed}: impute them, or give ratios over zero a value")
+
     def train_all_models(self, train: DataFrame, test: DataFrame) -> ModelTrainer:
         """Every enabled model; one that fails is logged and left out."""
         with cached(train) as train, cached(test) as test, cached(self.fold_rows(train)) as folded:
+            self.check_complete(train)
             sizes = (train.count(), test.count())
             for name, spec in self.config["models"].items():
                 if not spec.get("enabled", True):
