@@ -33,7 +33,9 @@ def preprocess(spark, args) -> None:
     config = load_config(args.config, spark)
     train, test = load_split_data(spark, args.input_dir, args.target)
     passthrough = [args.target, *[c for c in args.key if c in train.columns]]
-    preprocessor = DataPreprocessor(config["feature_processing"], passthrough, winsor_mode=args.winsor_mode).fit(train)
+    preprocessor = DataPreprocessor(config["feature_processing"], passthrough, winsor_mode=args.winsor_mode)
+    # a written table is read again in each pass, only the columns it needs: no copy of it in memory
+    preprocessor.fit(train, cache=False)
     parts = {"train": preprocessor.transform(train), "test": preprocessor.transform(test)}
     base = args.artifacts_dir.rstrip("/")
     preprocessor.save(f"{base}/data_preprocessor")

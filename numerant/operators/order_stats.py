@@ -80,10 +80,14 @@ def quantile_ranks(probs: Sequence[float]) -> Callable[[int], list[int]]:
     return ranks
 
 
-def ordinal(df: DataFrame, expr: str | Column) -> tuple[Column, bool]:
-    """An order-preserving number for a column and whether it is a bigint."""
-    col = F.col(f"`{expr}`") if isinstance(expr, str) else expr
-    kind = df.select(col.alias("x")).schema[0].dataType
+def ordinals(df: DataFrame, exprs: Sequence[str | Column]) -> list[tuple[Column, bool]]:
+    """An order-preserving number for each column and whether it is a bigint."""
+    cols = [F.col(f"`{e}`") if isinstance(e, str) else e for e in exprs]
+    kinds = [f.dataType for f in df.select(*[c.alias(f"x{i}") for i, c in enumerate(cols)]).schema]
+    return [_ordinal(c, k) for c, k in zip(cols, kinds)]
+
+
+def _ordinal(col: Column, kind: T.DataType) -> tuple[Column, bool]:
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
         return F.nanvl(col.cast("double"), F.lit(None).cast("double")), False
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
@@ -97,22 +101,27 @@ def ordinal(df: DataFrame, expr: str | Column) -> tuple[Column, bool]:
     raise TypeError(f"a column of type {kind.simpleString()} has no numeric order")
 
 
-def _bucket(x: Column, low: float | int, high: float | int, log_scale: bool) -> Column:
-    """Which of BINS parts of [low, high] holds x. Never decreasing in x."""
+def ordinal(df: DataFrame, expr: str | Column) -> tuple[Column, bool]:
+    return ordinals(df, [expr])[0]
+
 
-    def magnitude(v: float) -> float:
-        return 0.0 if v == 0 else math.copysign(math.log(abs(v)) + 745.0, v)
+def _magnitude(v: float) -> float:
+    """Signed logarithm: even parts of it resolve values of any size."""
+    return 0.0 if v == 0 else math.copysign(math.log(abs(v)) + 745.0, v)
 
-    d = x.cast("double")
-    lo, hi = float(low), float(high)
-    if log_scale or not math.isfinite(hi - lo):
-        d = F.coalesce(F.signum(d) * (F.ln(F.abs(d)) + 745.0), F.lit(0.0))
-        lo, hi = magnitude(lo), magnitude(hi)
+
+def _magnitude_of(d: Column) -> Column:
+    return F.coalesce(F.signum(d) * (F.ln(F.abs(d)) + 745.0), F.lit(0.0))
+
+
+def _parts(b: _Bracket) -> tuple[bool, float, float]:
+    """How a bracket is parted: (by magnitude, start, parts per unit)."""
+    lo, hi = float(b.low), float(b.high)
+    by_magnitude = b.log_scale or not math.isfinite(hi - lo)
+    if by_magnitude:
+        lo, hi = _magnitude(lo), _magnitude(hi)
     step = BINS / (hi - lo) if hi > lo else 0.0
-    if not math.isfinite(step):
-        return F.lit(0)
-    part = F.floor((d - F.lit(lo)) * F.lit(step))
-    return F.least(F.greatest(part, F.lit(0)), F.lit(BINS - 1)).cast("int")
+    return by_magnitude, lo, step if math.isfinite(step) else 0.0
 
 
 def _narrow(bracket: _Bracket, buckets: list[tuple[int, float | int, float | int]]) -> list[_Bracket]:
@@ -147,32 +156,20 @@ def order_statistics(
     if not wanted:
         return {}
     exprs = exprs or {}
-    typed = {name: ordinal(df, exprs.get(name, name)) for name in wanted}
-    # Positional aliases: names may hold any character.
-    alias = {name: f"v{i}" for i, name in enumerate(typed)}
-    is_long = {name: long for name, (_, long) in typed.items()}
-    data = df.select(*[col.alias(alias[name]) for name, (col, _) in typed.items()])
-
+    typed = dict(zip(wanted, ordinals(df, [exprs.get(name, name) for name in wanted])))
     infinity = float("inf")
-    aggs = []
-    for name, v in alias.items():
-        x = F.col(v)
-        finite = x if is_long[name] else F.when(F.abs(x) < infinity, x)
-        aggs += [F.count(x).alias(f"n_{v}"), F.min(finite).alias(f"lo_{v}"), F.max(finite).alias(f"hi_{v}")]
-        if not is_long[name]:
-            aggs += [F.count_if(x == -infinity).alias(f"ni_{v}"), F.count_if(x == infinity).alias(f"pi_{v}")]
-    seen = data.agg(*aggs).first().asDict()
+    seen = _extremes(df, typed)
 
     found: dict[str, dict[int, OrderStat]] = {name: {} for name in typed}
     counts: dict[str, int] = {}
     open_brackets: list[_Bracket] = []
-    for name, v in alias.items():
-        n = counts[name] = seen[f"n_{v}"]
+    for name in typed:
+        n, low, high, negative, positive = seen[name]
+        counts[name] = n
         spec = wanted[name]
         ranks = sorted(set(spec(n) if callable(spec) else spec))
         if any(r < 0 or r >= n for r in ranks):
             raise ValueError(f"rank outside 0..{n - 1} wanted of '{name}'")
-        negative, positive = seen.get(f"ni_{v}", 0), seen.get(f"pi_{v}", 0)
         for r in ranks:
             if r < negative:
                 found[name][r] = OrderStat(-infinity, 0, negative)
@@ -181,7 +178,7 @@ def order_statistics(
         middle = tuple(r for r in ranks if r not in found[name])
         if middle:
             open_brackets.append(
-                _Bracket(name, seen[f"lo_{v}"], seen[f"hi_{v}"], negative, n - negative - positive, middle)
+                _Bracket(name, low, high, negative, n - negative - positive, middle)
             )
 
     def settle(brackets: list[_Bracket]) -> list[_Bracket]:
@@ -206,7 +203,7 @@ def order_statistics(
                 budget -= 0 if close else b.rows
             else:
                 large.append(b)
-        histogram = _count_buckets(data, alias, is_long, small, large)
+        histogram = _count_buckets(df, typed, small, large)
         refined: list[_Bracket] = []
         for i, b in enumerate(small + large):
             refined += _narrow(b, histogram.get(i, []))
@@ -216,51 +213,65 @@ def order_statistics(
     return {name: ColumnOrder(counts[name], found[name]) for name in typed}
 
 
+def _cells(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """One row (i, x) per value of each row, NULL left out.
+
+    Everything after it is written once for all columns, which keeps the generated code of a pass
+    small enough to be compiled, however many columns there are.
+    """
+    return df.select(F.posexplode(F.array(*values)).alias("i", "x")).where("x IS NOT NULL")
+
+
+def _extremes(df: DataFrame, typed: Mapping[str, tuple[Column, bool]]) -> dict[str, tuple]:
+    """Per column: count, smallest and largest finite value, negative and positive infinities."""
+    out: dict[str, tuple] = {name: (0, None, None, 0, 0) for name in typed}
+    infinity, x = float("inf"), F.col("x")
+    for long in (False, True):
+        names = [n for n, (_, is_long) in typed.items() if is_long is long]
+        if not names:
+            continue
+        finite = x if long else F.when(F.abs(x) < infinity, x)
+        below, above = (F.lit(0), F.lit(0)) if long else (F.count_if(x == -infinity), F.count_if(x == infinity))
+        cells = _cells(df, [typed[n][0] for n in names])
+        for r in cells.groupBy("i").agg(F.count(F.lit(1)), F.min(finite), F.max(finite), below, above).collect():
+            out[names[r[0]]] = tuple(r)[1:]
+    return out
+
+
 def _count_buckets(
-    data: DataFrame,
-    alias: Mapping[str, str],
-    is_long: Mapping[str, bool],
-    small: list[_Bracket],
-    large: list[_Bracket],
+    df: DataFrame, typed: Mapping[str, tuple[Column, bool]], small: list[_Bracket], large: list[_Bracket]
 ) -> dict[int, list[tuple[int, float | int, float | int]]]:
     """Rows, smallest and largest value of each bucket of each bracket.
 
     A small bracket is counted by value (each value its own bucket), a large one by BINS parts.
     """
-    entries, any_inside = [], None
-    for i, b in enumerate(small + large):
-        x = F.col(alias[b.column])
-        long = is_long[b.column]
-        inside = (x >= F.lit(b.low)) & (x <= F.lit(b.high))
-        bucket = F.lit(-1) if i < len(small) else _bucket(x, b.low, b.high, b.log_scale)
-        as_long = x if long else F.lit(None).cast("bigint")
-        as_double = F.lit(None).cast("double") if long else x
-        by_value = i < len(small)
-        entries.append(
-            F.when(
-                inside,
-                F.struct(
-                    F.lit(i).alias("b"),
-                    bucket.cast("int").alias("k"),
-                    (as_long if by_value else F.lit(None).cast("bigint")).alias("kl"),
-                    (as_double if by_value else F.lit(None).cast("double")).alias("kd"),
-                    as_long.alias("l"),
-                    as_double.alias("d"),
-                ),
-            )
-        )
-        any_inside = inside if any_inside is None else any_inside | inside
-    # A filter before the explode would be pushed down and compute the input columns twice.
-    rows = data.select(F.explode(F.when(any_inside, F.array(*entries))).alias("e")).where("e IS NOT NULL")
-    counted = (
-        rows.groupBy("e.b", "e.k", "e.kl", "e.kd")
-        .agg(F.count(F.lit(1)), F.min("e.l"), F.max("e.l"), F.min("e.d"), F.max("e.d"))
-        .toDF("b", "k", "kl", "kd", "rows", "min_l", "max_l", "min_d", "max_d")
-    )
+    brackets = small + large
     out: dict[int, list[tuple[int, float | int, float | int]]] = {}
-    for r in counted.collect():  # at most BINS rows per large bracket, FETCH_ROWS in all small ones
-        low, high = (r.min_l, r.max_l) if r.min_l is not None else (r.min_d, r.max_d)
-        out.setdefault(r.b, []).append((r.rows, low, high))
+    for long in (False, True):
+        chosen = [i for i, b in enumerate(brackets) if typed[b.column][1] is long]
+        if not chosen:
+            continue
+        parts = [_parts(brackets[i]) for i in chosen]
+        x = F.col("x")
+
+        def of(values: list) -> Column:
+            return F.get(F.array(*[F.lit(v) for v in values]), F.col("i"))
+
+        d = x.cast("double")
+        if any(p[0] for p in parts):
+            d = F.when(of([p[0] for p in parts]), _magnitude_of(d)).otherwise(d)
+        part = F.floor((d - of([p[1] for p in parts])) * of([p[2] for p in parts]))
+        part = F.least(F.greatest(part, F.lit(0)), F.lit(BINS - 1)).cast("int")
+        by_value = of([i < len(small) for i in chosen])
+        cells = _cells(df, [typed[brackets[i].column][0] for i in chosen])
+        inside = (x >= of([brackets[i].low for i in chosen])) & (x <= of([brackets[i].high for i in chosen]))
+        counted = (
+            cells.where(inside)
+            .groupBy("i", F.when(~by_value, part).alias("k"), F.when(by_value, x).alias("v"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        )
+        for r in counted.collect():  # at most BINS rows per large bracket, FETCH_ROWS in all small ones
+            out.setdefault(chosen[r.i], []).append((r.rows, r.low, r.high))
     return out
 
 
@@ -280,10 +291,9 @@ def approximate_quantiles(
     df: DataFrame, probs: Sequence[float], columns: Sequence[str], accuracy: int = 10_000
 ) -> dict[str, list[float | None]]:
     """One pass with a bounded rank error, for callers who accept it."""
-    row = df.agg(
-        *[F.percentile_approx(ordinal(df, c)[0].cast("double"), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
-    return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
+    cells = _cells(df, [v.cast("double") for v, _ in ordinals(df, columns)])
+    found = dict(cells.groupBy("i").agg(F.percentile_approx("x", list(probs), accuracy)).collect())
+    return {c: list(found[i]) if i in found else [None] * len(probs) for i, c in enumerate(columns)}
 
 
 def quantiles(
@@ -325,9 +335,7 @@ def grouped_order_statistics(
 
         def magnitude(c: Column) -> Column:
             d = c.cast("double")
-            if not log_turn:
-                return d
-            return F.coalesce(F.signum(d) * (F.ln(F.abs(d)) + 745.0), F.lit(0.0))
+            return _magnitude_of(d) if log_turn else d
 
         share = F.try_divide(magnitude(F.col("x")) - magnitude(F.col("low")), magnitude(F.col("high")) - magnitude(F.col("low")))
         bucket = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(0)), F.lit(BINS - 1))

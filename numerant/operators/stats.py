@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import as_double, is_outlier, numeric_columns, quoted
+from ..functions.columns import as_double, numeric_columns, quoted
 from .order_stats import exact_quantiles, order_statistics, quantiles
 
 
@@ -19,32 +19,22 @@ def _missing(df: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], parts: Mapping[str, Mapping[str, Column]]) -> DataFrame:
-    """One aggregate over all columns, turned into one row per column.
+def _named(columns: Sequence[str]) -> Column:
+    """The name at position ``i``."""
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("i"))
 
-    ``parts`` maps an output name to the aggregate of each column.
-    """
-    wide = df.agg(
-        *[parts[p][c].alias(f"{p}_{i}") for i, c in enumerate(columns) for p in parts]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), *[F.col(f"{p}_{i}").alias(p) for p in parts])
-            for i, c in enumerate(columns)
-        ]
-    )
-    return wide.select(F.inline(rows))
+
+def _cells(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """One row (i, x) per column of each row: what follows is written, and compiled, once."""
+    return df.select(F.posexplode(F.array(*values)).alias("i", "x"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, nulls, rows, share) of every column."""
     columns = list(columns or df.columns)
-    counts = _per_column(
-        df,
-        columns,
-        {"nulls": {c: F.count_if(_missing(df, c)) for c in columns}, "rows": {c: F.count(F.lit(1)) for c in columns}},
-    )
-    return counts.withColumn("share", F.try_divide(F.col("nulls").cast("double"), F.col("rows")))
+    counted = _cells(df, [_missing(df, c) for c in columns]).groupBy("i").agg(F.count_if("x").alias("nulls"), F.count(F.lit(1)).alias("rows"))
+    share = F.try_divide(F.col("nulls").cast("double"), F.col("rows"))
+    return counted.select(_named(columns).alias("column"), "nulls", "rows", share.alias("share"))
 
 
 def missing_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -71,16 +61,13 @@ def moments(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float
     """count, mean, population and sample deviation, min and max of every column, in one scan."""
     if not columns:
         return {}
-    makers = {
-        "count": F.count,
-        "mean": F.avg,
-        "std_pop": F.stddev_pop,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    row = df.agg(*[f(as_double(c)).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in makers.items()]).first()
-    return {c: {n: row[f"{n}_{i}"] for n in makers} for i, c in enumerate(columns)}
+    makers = {"mean": F.avg, "std_pop": F.stddev_pop, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    cells = _cells(df, [as_double(c) for c in columns])
+    counted = cells.groupBy("i").agg(F.count("x").alias("count"), *[f("x").alias(n) for n, f in makers.items()])
+    out: dict[str, dict[str, float | None]] = {c: {"count": 0, **dict.fromkeys(makers)} for c in columns}
+    for r in counted.collect():
+        out[columns[r.i]] = {n: r[n] for n in ("count", *makers)}
+    return out
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -90,9 +77,8 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """
     if not columns:
         return {}
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), as_double(c).alias("v")) for i, c in enumerate(columns)])
-    counted = df.select(F.explode(cells).alias("e")).where("e.v IS NOT NULL").groupBy("e.i", "e.v").count()
-    top = counted.groupBy("i").agg(F.max_by("v", F.struct("count", -F.col("v"))).alias("mode")).collect()
+    counted = _cells(df, [as_double(c) for c in columns]).where("x IS NOT NULL").groupBy("i", "x").count()
+    top = counted.groupBy("i").agg(F.max_by("x", F.struct("count", -F.col("x"))).alias("mode")).collect()
     found = {r["i"]: r["mode"] for r in top}
     return {c: found.get(i) for i, c in enumerate(columns)}
 
@@ -117,18 +103,16 @@ def iqr_bounds(
 def outlier_counts(df: DataFrame, bounds: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """(column, lower, upper, outliers, share of rows in percent)."""
     columns = list(bounds)
-    counts = _per_column(
-        df,
-        columns,
-        {
-            "lower": {c: F.first(F.lit(bounds[c]["lower"]).cast("double")) for c in columns},
-            "upper": {c: F.first(F.lit(bounds[c]["upper"]).cast("double")) for c in columns},
-            "outliers": {c: F.count_if(is_outlier(as_double(c), bounds[c]["lower"], bounds[c]["upper"])) for c in columns},
-            "rows": {c: F.count(F.lit(1)) for c in columns},
-        },
-    )
+
+    def bound(end: str) -> Column:
+        return F.get(F.array(*[F.lit(bounds[c][end]).cast("double") for c in columns]), F.col("i"))
+
+    outside = F.coalesce((F.col("x") < bound("lower")) | (F.col("x") > bound("upper")), F.lit(False))
+    counted = _cells(df, [as_double(c) for c in columns]).groupBy("i").agg(F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("rows"))
     percent = F.try_divide(F.col("outliers").cast("double"), F.col("rows")) * 100
-    return counts.select("column", "lower", "upper", "outliers", percent.alias("percent"))
+    return counted.select(
+        _named(columns).alias("column"), bound("lower").alias("lower"), bound("upper").alias("upper"), "outliers", percent.alias("percent")
+    )
 
 
 def winsor_bounds(
@@ -203,16 +187,19 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
             edges[c] = (lo, hi) if hi > lo else (lo - 0.5, hi + 0.5)
     if not edges:
         return df.sparkSession.createDataFrame([], "column string, bin int, lower double, upper double, count bigint")
-    cells = []
-    for c, (lo, hi) in edges.items():
-        part = F.floor((as_double(c) - F.lit(lo)) / F.lit(hi - lo) * bins)
-        part = F.when(part < bins, part).when(part >= bins, bins - 1).cast("int")
-        cells.append(F.struct(F.lit(c).alias("column"), part.alias("bin")))
+    names = list(edges)
+
+    def of(end: int) -> Column:
+        return F.get(F.array(*[F.lit(edges[c][end]) for c in names]), F.col("i"))
+
+    part = F.floor((F.col("x") - of(0)) / (of(1) - of(0)) * bins)
+    part = F.when(part < bins, part).when(part >= bins, bins - 1).cast("int")
     counted = (
-        df.select(F.explode(F.array(*cells)).alias("e"))
-        .where("e.bin IS NOT NULL")
-        .groupBy("e.column", "e.bin")
+        _cells(df, [as_double(c) for c in names])
+        .where("x IS NOT NULL")
+        .groupBy("i", part.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
+        .select(_named(names).alias("column"), "bin", "count")
     )
     grid = df.sparkSession.createDataFrame(
         [(c, b, lo + (hi - lo) * b / bins, lo + (hi - lo) * (b + 1) / bins) for c, (lo, hi) in edges.items() for b in range(bins)],

@@ -262,7 +262,9 @@ class DataPreprocessor:
     """The configured chain; every stage is fitted on the output of the one before.
 
     Features are all numeric columns but ``passthrough`` (key, target, split). Columns that the
-    configuration drops anyway are left out of the fitting passes.
+    configuration drops anyway are left out of the fitting passes. ``fit`` makes a few passes over
+    the features: leave ``cache`` on where they are computed (a join, a derivation), switch it off
+    where they are columns of a written table.
     """
 
     def __init__(self, config: Mapping, passthrough: Sequence[str] = (), features: Sequence[str] | None = None, **options):

@@ -40,6 +40,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/numerant/{name}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan in at least as many partitions as there are cores.
+
+    A small file of one row group is one task, whatever is computed from it. A table large enough
+    to fill the cores comes back as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 @contextlib.contextmanager
 def cached(df: DataFrame, enabled: bool = True) -> Iterator[DataFrame]:
     """Keep ``df`` for the passes inside the block; lost blocks are recomputed from lineage."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import missing_to_null, quoted
+from ..session import spread
 
 log = logging.getLogger(__name__)
 
@@ -119,10 +120,10 @@ def load_split_data(
     """The parts written by ``save_split_data`` (either format); all of them must exist."""
     base = folder.rstrip("/")
     try:
-        table = read_table(spark, f"{base}/split{suffix}")
+        table = spread(read_table(spark, f"{base}/split{suffix}"))
         found = tuple(table.where(F.col("split") == p).drop("split") for p in parts)
     except FileNotFoundError:
-        found = tuple(read_table(spark, f"{base}/{p}{suffix}.csv", schema) for p in parts)
+        found = tuple(spread(read_table(spark, f"{base}/{p}{suffix}.csv", schema)) for p in parts)
     for df in found:
         if target not in df.columns:
             raise ValueError(f"target column '{target}' not found in {folder}")
