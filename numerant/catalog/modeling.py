@@ -13,7 +13,7 @@ from ..plans.preprocessing import DataPreprocessor
 from ..plans.scoring import Scorer, valid_rows, validate
 from ..plans.training import FOLD, ModelOptimizer, ModelTrainer, cross_validate
 from ..session import cached
-from .registry import FEATURES, H_CTE, housing, query, r, rounded, sql_median, sql_metrics, sql_r, table, union_all
+from .registry import FEATURES, H_CTE, housing, query, r, rounded, scan, sql_median, sql_metrics, sql_r, table, union_all
 from .statistics import FOLD_CTE, SPLIT_CTE, histogram_sql, kept, order_split
 
 # A prediction to measure: price of a line from its quantity.
@@ -272,7 +272,7 @@ def customers(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).cast("double").alias("orders"), F.max("o_totalprice").alias("spent"), F.avg("o_totalprice").alias("target")
     )
-    people = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey"), F.pmod(F.xxhash64("c_mktsegment"), F.lit(5)).cast("double").alias("segment"))
+    people = scan(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey"), F.pmod(F.xxhash64("c_mktsegment"), F.lit(5)).cast("double").alias("segment"))
     return people.join(orders, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", *CUSTOMER_FEATURES, "target")
 
 

@@ -29,8 +29,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A scan whose rows are computed on: over all cores even if it is one small file."""
+    return spread(scan(spark, sf_dir, name))
 
 
 def r(value: Column | str, digits: int = 6) -> Column:
@@ -79,7 +84,7 @@ def housing_of(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def housing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return housing_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    return housing_of(table(spark, sf_dir, "lineitem"), scan(spark, sf_dir, "part"))
 
 
 def union_all(parts: list[str]) -> str:

@@ -11,14 +11,14 @@ from ..session import scratch_path
 from ..streaming.monitor import LATENCY_QUANTILES, error_rate, latency_quantiles, throughput
 from ..streaming.scoring import start_scoring
 from .modeling import SCORE_CTES, fitted_scorer
-from .registry import H_CTE, housing, housing_of, query, r, rounded, sql_r, table
+from .registry import H_CTE, housing, housing_of, query, r, rounded, scan, sql_r, table
 
 ONCE = {"availableNow": True}
 
 
 def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream of its files."""
-    schema = table(spark, sf_dir, name).schema
+    schema = scan(spark, sf_dir, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
@@ -26,7 +26,7 @@ def _scored_stream(spark, sf_dir) -> tuple[str, str]:
     """Run the scoring stream over all of lineitem; paths of scores and quarantine."""
     base = scratch_path(spark, "stream")
     scorer = fitted_scorer(housing(spark, sf_dir))
-    requests = housing_of(stream_of(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    requests = housing_of(stream_of(spark, sf_dir, "lineitem"), scan(spark, sf_dir, "part"))
     paths = f"{base}/scored", f"{base}/quarantine"
     start_scoring(requests, scorer, *paths, f"{base}/checkpoint", ["MEDV"], trigger=ONCE).awaitTermination()
     return paths

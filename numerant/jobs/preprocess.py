@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from ..plans.base import column_changes
 from ..plans.features import FeatureEngineer
 from ..plans.preprocessing import DataPreprocessor
 from ..sources.documents import load_config
@@ -39,13 +40,13 @@ def preprocess(spark, args) -> None:
     parts = {"train": preprocessor.transform(train), "test": preprocessor.transform(test)}
     base = args.artifacts_dir.rstrip("/")
     preprocessor.save(f"{base}/data_preprocessor")
-    log.info("features out: %s", preprocessor.get_feature_names_out())
+    log.info("features removed and added: %s", column_changes(preprocessor.feature_names_in_, preprocessor.get_feature_names_out()))
     engineering = config.get("feature_engineering")
     if engineering and not args.no_feature_engineering:
         engineer = FeatureEngineer(engineering, passthrough, preprocessor.get_feature_names_out(), args.zero_division).fit(parts["train"])
         parts = {k: engineer.transform(v) for k, v in parts.items()}
         engineer.save(f"{base}/feature_engineer")
-        log.info("features added: %s", [c for c in engineer.get_feature_names_out() if c not in engineer.feature_names_in_])
+        log.info("features removed and added: %s", column_changes(engineer.feature_names_in_, engineer.get_feature_names_out()))
     labelled = parts["train"].withColumn("split", F.lit("train")).unionByName(parts["test"].withColumn("split", F.lit("test")))
     save_processed_data(labelled, args.output_dir, args.target, fmt=args.format)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -68,6 +68,11 @@ def project(df: DataFrame, before: Sequence[str], after: Sequence[str], new: dic
     return df.select(*columns, *[quoted(c) for c in df.columns if c not in known])
 
 
+def column_changes(before: Sequence[str], after: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(removed, added) columns, each in its own order."""
+    return [c for c in before if c not in set(after)], [c for c in after if c not in set(before)]
+
+
 class FittableStage(FeatureStage, Estimator):
     """An unfitted stage; ``features`` defaults to all numeric columns."""
 
@@ -88,8 +93,4 @@ class FittableStage(FeatureStage, Estimator):
         return model
 
 
-class StatelessStage(FeatureStage, Transformer):
-    """A stage without fitted values."""
-
-
-__all__ = ["FeatureStage", "FittableStage", "FittedStage", "StatelessStage", "project"]
+__all__ = ["FeatureStage", "FittableStage", "FittedStage", "column_changes", "project"]

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import affine, as_double, clip, log_magnitude, numeric_columns
+from ..functions.columns import affine, as_double, clip, log_magnitude, numeric_columns, quoted
 from ..operators.order_stats import quantiles
 from ..operators.stats import correlations, iqr_bounds, modes, moments, total_missing, winsor_bounds
 from ..session import cached
@@ -281,7 +282,11 @@ class DataPreprocessor:
         if absent:
             raise ValueError(f"feature columns not found: {absent}")
         self.feature_names_in_ = features
-        with cached(df.select(*features), cache) as data:
+        gone = set((self.config.get("handling_correlated_features") or {}).get("remove") or [])
+        needed = df.select(*[quoted(c) for c in features if c not in gone])
+        with cached(needed, cache and df.storageLevel == StorageLevel.NONE) as data:
+            # nothing is fitted on columns that are dropped: they take part as a name only
+            data = data.withColumns({c: F.lit(None).cast("double") for c in features if c in gone})
             self.model_ = Pipeline(stages=preprocessing_stages(self.config, features, **self.options)).fit(data)
         return self
 

@@ -17,6 +17,7 @@ def get_spark(app_name: str = "numerant") -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites cost more than the plans of many-column stages
         .getOrCreate()
     )
 
