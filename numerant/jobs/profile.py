@@ -23,6 +23,8 @@ def write_profile(spark, args) -> None:
     found = profile(load_raw_data(spark, args.input), bins=args.bins)
     base = args.output.rstrip("/")
     for name in ("nulls", "missing", "duplicates", "describe", "quartiles", "outliers", "histogram", "correlations"):
+        if getattr(found, name) is None:
+            continue
         getattr(found, name).coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
     save_yaml(f"{base}/preprocessing.yaml", found.config, spark)
 

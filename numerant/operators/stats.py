@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import as_double, numeric_columns, quoted
-from .order_stats import exact_quantiles, order_statistics, quantiles
+from .order_stats import order_statistics, quantiles
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -83,12 +83,21 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     return {c: found.get(i) for i, c in enumerate(columns)}
 
 
+Marks = Mapping[str, Sequence[float | None]]  # Q1, median, Q3 per column
+Moments = Mapping[str, Mapping[str, float | None]]
+
+
+def quartiles(df: DataFrame, columns: Sequence[str], method: str = "exact") -> Marks:
+    """Q1, median and Q3 of every column; hand them to the reports below to compute them once."""
+    return quantiles(df, [0.25, 0.5, 0.75], columns, method)
+
+
 def iqr_bounds(
-    df: DataFrame, columns: Sequence[str], factor: float = 1.5, method: str = "exact"
+    df: DataFrame, columns: Sequence[str], factor: float = 1.5, method: str = "exact", marks: Marks | None = None
 ) -> dict[str, dict[str, float | None]]:
     """Q1, Q3, IQR and the bounds ``factor`` IQRs outside them."""
     out = {}
-    for c, (q1, q3) in quantiles(df, [0.25, 0.75], columns, method).items():
+    for c, (q1, *_, q3) in (marks or quantiles(df, [0.25, 0.75], columns, method)).items():
         iqr = None if q1 is None else q3 - q1
         out[c] = {
             "q1": q1,
@@ -135,10 +144,13 @@ def winsor_bounds(
     return out
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact",
+    marks: Marks | None = None, basic: Moments | None = None,
+) -> DataFrame:
     """(column, count, mean, std, min, q1, median, q3, max) as doubles; std is the sample deviation."""
     columns = list(columns or numeric_columns(df))
-    basic, marks = moments(df, columns), quantiles(df, [0.25, 0.5, 0.75], columns, method)
+    basic, marks = basic or moments(df, columns), marks or quartiles(df, columns, method)
     rows = [
         (c, basic[c]["count"], basic[c]["mean"], basic[c]["std"], basic[c]["min"], *marks[c], basic[c]["max"])
         for c in columns
@@ -147,10 +159,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str =
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def quartile_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def quartile_profile(df: DataFrame, columns: Sequence[str] | None = None, marks: Marks | None = None) -> DataFrame:
     """(column, dtype, q1, median, q3, iqr)."""
     columns = list(columns or numeric_columns(df))
-    types, marks = dict(df.dtypes), exact_quantiles(df, [0.25, 0.5, 0.75], columns)
+    types, marks = dict(df.dtypes), marks or quartiles(df, columns)
     rows = [(c, types[c], *marks[c], None if marks[c][0] is None else marks[c][2] - marks[c][0]) for c in columns]
     return df.sparkSession.createDataFrame(
         rows, "column string, dtype string, q1 double, median double, q3 double, iqr double"
@@ -174,12 +186,12 @@ def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.min(least).alias("min_value"), F.max(most).alias("max_value"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30, basic: Moments | None = None) -> DataFrame:
     """(column, bin, lower, upper, count) with equal-width bins over [min, max], empty bins included.
 
     The last bin is closed. A constant column x gets bins over [x - 0.5, x + 0.5].
     """
-    spread = moments(df, columns)
+    spread = basic or moments(df, columns)
     edges = {}
     for c in columns:
         lo, hi = spread[c]["min"], spread[c]["max"]
@@ -208,7 +220,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     return grid.join(F.broadcast(counted), ["column", "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
-def correlations(df: DataFrame, columns: Sequence[str] | None = None, against: Sequence[str] | None = None) -> DataFrame:
+def correlations(
+    df: DataFrame, columns: Sequence[str] | None = None, against: Sequence[str] | None = None, basic: Moments | None = None
+) -> DataFrame:
     """(col_a, col_b, corr): Pearson over the rows where both are present, NULL for a constant column.
 
     Each row is spread to one cell per column of ``against`` and combined map-side into one row of
@@ -217,7 +231,8 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, against: S
     """
     columns = list(columns or numeric_columns(df))
     against = list(against or columns)
-    means = {c: m["mean"] or 0.0 for c, m in moments(df, list(dict.fromkeys([*columns, *against]))).items()}
+    basic = basic or moments(df, list(dict.fromkeys([*columns, *against])))
+    means = {c: m["mean"] or 0.0 for c, m in basic.items()}
 
     def shifted(c: str) -> Column:
         return as_double(c) - F.lit(means[c])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import absolute_residual, as_double, numeric_columns, percentage_residual, residual
 from ..operators.metrics import as_dict, extended_metrics, flag_best, regression_metrics
-from ..operators.stats import correlations, describe, histogram, iqr_bounds, outlier_counts, value_range
+from ..operators.stats import correlations, describe, histogram, iqr_bounds, outlier_counts, quartiles, value_range
 from ..session import cached
 from ..sources.documents import save_metrics
 from .models import PREDICTION, feature_importance, predict
@@ -63,9 +63,10 @@ def box_plot(df: DataFrame, columns: Sequence[str] | None = None, factor: float
     """Five numbers, mean, deviation, IQR bounds and outliers of each column."""
     columns = list(columns or numeric_columns(df))
     with cached(df.select(*columns)) as data:
-        counts = outlier_counts(data, iqr_bounds(data, columns, factor)).select("column", "lower", "upper", "outliers")
+        marks = quartiles(data, columns)
+        counts = outlier_counts(data, iqr_bounds(data, columns, factor, marks=marks)).select("column", "lower", "upper", "outliers")
         counts = df.sparkSession.createDataFrame(counts.collect(), counts.schema)  # one row per column
-        return describe(data, columns).join(counts, "column")
+        return describe(data, columns, marks=marks).join(counts, "column")
 
 
 def correlation_heat_map(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

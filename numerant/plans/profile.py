@@ -6,9 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
-from ..operators.stats import columns_by_missing, correlations, describe, duplicate_rows, histogram, iqr_bounds, missing_fractions, null_counts, outlier_counts, quartile_profile
+from ..operators.stats import (
+    columns_by_missing, correlations, describe, duplicate_rows, histogram, iqr_bounds, moments, null_counts,
+    outlier_counts, quartile_profile, quartiles,
+)
 from ..session import cached
 
 
@@ -21,7 +25,7 @@ class Profile:
     duplicates: DataFrame
     describe: DataFrame
     quartiles: DataFrame
-    outliers: DataFrame
+    outliers: DataFrame | None
     histogram: DataFrame
     correlations: DataFrame
     config: dict
@@ -40,16 +44,20 @@ def empty_config() -> dict:
     }
 
 
-def suggested_config(df: DataFrame, median: Sequence[str] = (), most_frequent: Sequence[str] = (), mean: Sequence[str] = ()) -> dict:
+def suggested_config(
+    df: DataFrame, median: Sequence[str] = (), most_frequent: Sequence[str] = (), mean: Sequence[str] = (),
+    complete: Sequence[str] | None = None,
+) -> dict:
     """Complete columns go to 'no_action'; what to do with the others is the caller's decision.
 
     The rest of the skeleton keeps every column as it is.
     """
     config = empty_config()
-    _, complete = columns_by_missing(df)
+    if complete is None:
+        _, complete = columns_by_missing(df)
     na = config["feature_processing"]["handling_na"]
     na["mean"], na["median"], na["most_frequent"] = list(mean), list(median), list(most_frequent)
-    na["no_action"] = complete
+    na["no_action"] = [c for c in df.columns if c in set(complete)]
     config["feature_processing"]["handling_outliers"]["no_action"] = list(df.columns)
     config["feature_processing"]["handling_correlated_features"]["no_action"] = list(df.columns)
     return config
@@ -63,14 +71,16 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30,
         return spark.createDataFrame(table.collect(), table.schema)  # a few rows per column
 
     with cached(df, cache) as data:
+        nulls, marks, basic = kept(null_counts(data)), quartiles(data, columns), moments(data, columns)
+        counted = {c: b for c, b in iqr_bounds(data, columns, marks=marks).items() if b["lower"] is not None}
         return Profile(
-            nulls=kept(null_counts(data)),
-            missing=kept(missing_fractions(data)),
+            nulls=nulls,
+            missing=nulls.where("nulls > 0").orderBy(F.desc("share"), "column"),
             duplicates=kept(duplicate_rows(data)),
-            describe=describe(data, columns),
-            quartiles=quartile_profile(data, columns),
-            outliers=kept(outlier_counts(data, iqr_bounds(data, columns))),
-            histogram=kept(histogram(data, columns, bins)),
-            correlations=kept(correlations(data, columns)),
-            config=suggested_config(data),
+            describe=describe(data, columns, marks=marks, basic=basic),
+            quartiles=quartile_profile(data, columns, marks),
+            outliers=kept(outlier_counts(data, counted)) if counted else None,
+            histogram=kept(histogram(data, columns, bins, basic)),
+            correlations=kept(correlations(data, columns, basic=basic)),
+            config=suggested_config(data, complete=[r["column"] for r in nulls.collect() if r["nulls"] == 0]),
         )
