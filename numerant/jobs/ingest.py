@@ -5,10 +5,12 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from ..operators.split import split_data
 from ..operators.stats import split_summary
 from ..session import scratch_path
-from ..sources.tables import ROW_ID, load_raw_data, save_split_data, target_last, with_row_id
+from ..sources.tables import ROW_ID, load_raw_data, load_split_data, save_split_data, target_last, with_row_id
 from .common import log, parser, run
 
 
@@ -35,7 +37,9 @@ def ingest(spark, args) -> None:
         df, key = spark.read.parquet(path), [ROW_ID]
     labelled = split_data(df, key, args.target, args.test_size, args.random_state, args.stratify)
     save_split_data(labelled, args.output, args.target, fmt=args.format)
-    for r in split_summary(labelled, args.target).collect():
+    parts = zip(("train", "test"), load_split_data(spark, args.output, args.target))
+    train, test = (df.select(args.target).withColumn("split", F.lit(name)) for name, df in parts)
+    for r in split_summary(train.unionByName(test), args.target).collect():
         log.info("%s: %d rows (%.1f %%), target mean %s, std %s", r["split"], r["rows"], r["percent"], r["mean"], r["std"])
 
 

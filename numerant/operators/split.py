@@ -215,12 +215,24 @@ def train_test(df: DataFrame, column: str = "split") -> tuple[DataFrame, DataFra
     return tuple(df.where(F.col(column) == part).drop(column) for part in ("train", "test"))
 
 
+def text_words(df: DataFrame, column: str) -> list[Column]:
+    """Numbers that order texts as their bytes do: seven bytes each, then the length."""
+    data = quoted(column).cast("binary")
+    longest = df.agg(F.max(F.octet_length(data))).first()[0] or 0
+    digits = 14 * max(1, math.ceil(longest / 7))
+    padded = F.rpad(F.hex(data), digits, "0")
+    words = [F.conv(F.substring(padded, start, 14), 16, 10).cast("bigint") for start in range(1, digits, 14)]
+    return [*words, F.octet_length(data).cast("bigint")]
+
+
 def assign_folds(df: DataFrame, order_by: Sequence[str] | str, folds: int = 5, column: str = "fold") -> DataFrame:
     """Contiguous folds 0..k-1 in the given order; the first n mod k folds hold one row more."""
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     if folds < 2:
         raise ValueError("at least two folds are needed")
-    order = [ordinal(df, c)[0] for c in names]
+    types, order = dict(df.dtypes), []
+    for c in names:
+        order += text_words(df, c) if types.get(c) == "string" else [ordinal(df, c)[0]]
     seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(order)]).first()
     n = seen.n
     if n < folds:

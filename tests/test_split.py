@@ -94,3 +94,10 @@ def test_folds_need_rows_and_order(spark):
         assign_folds(keyed(spark, 3), "key", 5)
     with pytest.raises(ValueError):
         assign_folds(spark.sql("SELECT * FROM VALUES (1), (NULL), (3) AS t(key)"), "key", 2)
+
+
+def test_folds_ordered_by_text(spark):
+    names = ["b", "a", "", "aaaaaaaab", "aaaaaaaaa", "z" * 20 + "1", "z" * 20 + "0", "é", "a\0", "Z"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name: r.fold for r in assign_folds(df, "name", 10).collect()}
+    assert got == {n: i for i, n in enumerate(sorted(names, key=lambda s: s.encode()))}
