@@ -37,7 +37,7 @@ def preprocess(spark, args) -> None:
     preprocessor = DataPreprocessor(config["feature_processing"], passthrough, winsor_mode=args.winsor_mode)
     # a written table is read again in each pass, only the columns it needs: no copy of it in memory
     preprocessor.fit(train, cache=False)
-    parts = {"train": preprocessor.transform(train), "test": preprocessor.transform(test)}
+    parts = {"train": preprocessor.transform_training(train), "test": preprocessor.transform(test)}
     base = args.artifacts_dir.rstrip("/")
     preprocessor.save(f"{base}/data_preprocessor")
     log.info("features removed and added: %s", column_changes(preprocessor.feature_names_in_, preprocessor.get_feature_names_out()))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import as_double, numeric_columns, quoted
-from .order_stats import order_statistics, quantiles
+from .order_stats import ColumnOrder, order_statistics, quantile_ranks, quantiles
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -131,17 +131,31 @@ def winsor_bounds(
     exprs: Mapping[str, Column] | None = None,
 ) -> dict[str, tuple[float, float] | None]:
     """The order statistics int(l n) from below and int(u n) from above; missing values excluded."""
-    low, high = limits
+    exprs = exprs or {c: as_double(c) for c in columns}
+    orders = order_statistics(df, {c: _winsor_ranks(limits) for c in columns}, exprs)
+    return {c: _winsor_pair(order, limits) for c, order in orders.items()}
 
-    def ranks(n: int) -> list[int]:
-        return sorted({int(low * n), n - int(high * n) - 1}) if n else []
 
-    exprs = exprs or {c: as_double(c) for c in columns}
-    out: dict[str, tuple[float, float] | None] = {}
-    for c, order in order_statistics(df, {c: ranks for c in columns}, exprs).items():
-        n = order.count
-        out[c] = None if n == 0 else (float(order.value(int(low * n))), float(order.value(n - int(high * n) - 1)))
-    return out
+def _winsor_ranks(limits: tuple[float, float]):
+    return lambda n: sorted({int(limits[0] * n), n - int(limits[1] * n) - 1}) if n else []
+
+
+def _winsor_pair(order: ColumnOrder, limits: tuple[float, float]) -> tuple[float, float] | None:
+    n = order.count
+    return (float(order.value(int(limits[0] * n))), float(order.value(n - int(limits[1] * n) - 1))) if n else None
+
+
+def outlier_limits(
+    df: DataFrame, capped: Sequence[str], winsor: Sequence[str], factor: float = 1.5,
+    limits: tuple[float, float] = (0.05, 0.05), exprs: Mapping[str, Column] | None = None,
+) -> tuple[dict[str, dict[str, float | None]], dict[str, tuple[float, float] | None]]:
+    """IQR bounds of some columns and winsor limits of others, found in the same passes."""
+    wanted = {("iqr", c): quantile_ranks([0.25, 0.75]) for c in capped} | {("winsor", c): _winsor_ranks(limits) for c in winsor}
+    values = {("iqr", c): as_double(c) for c in capped} | {("winsor", c): (exprs or {}).get(c, as_double(c)) for c in winsor}
+    orders = order_statistics(df, wanted, values)
+    marks = {c: [orders["iqr", c].quantile(p) for p in (0.25, 0.75)] for c in capped}
+    bounds = iqr_bounds(df, capped, factor, marks=marks) if capped else {}
+    return bounds, {c: _winsor_pair(orders["winsor", c], limits) for c in winsor}
 
 
 def describe(

@@ -60,6 +60,10 @@ class FittedStage(FeatureStage, Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         return project(df, self.feature_names_in, self.feature_names_out, self.expressions(df))
 
+    def transform_training(self, df: DataFrame) -> DataFrame:
+        """The transform of the frame the stage was fitted on; it may use what fitting found out."""
+        return self.transform(df)
+
 
 def project(df: DataFrame, before: Sequence[str], after: Sequence[str], new: dict[str, Column]) -> DataFrame:
     """Features in output order, then the handed-through columns: one projection."""

@@ -6,16 +6,16 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import affine, as_double, clip, log_magnitude, numeric_columns, quoted
 from ..operators.order_stats import quantiles
-from ..operators.stats import correlations, iqr_bounds, modes, moments, total_missing, winsor_bounds
+from ..operators.stats import correlations, iqr_bounds, modes, moments, outlier_limits, total_missing, winsor_bounds
 from ..session import cached
-from .base import FittableStage, FittedStage
+from .base import FittableStage, FittedStage, project
 
 log = logging.getLogger(__name__)
 
@@ -104,11 +104,18 @@ class OutlierModel(FittedStage, _Outliers, _Method):
     they are those of the training frame, as a stream needs.
     """
 
+    def transform_training(self, df: DataFrame) -> DataFrame:
+        """Fitting has already found the limits of this frame."""
+        return project(df, self.feature_names_in, self.feature_names_out, self._expressions(df, per_batch=False))
+
     def expressions(self, df: DataFrame) -> dict[str, Column]:
+        return self._expressions(df, self.get("winsor_mode") == "per_batch")
+
+    def _expressions(self, df: DataFrame, per_batch: bool) -> dict[str, Column]:
         state = self.get("state")
         out = _log_and_cap(df, self.feature_names_in, state["log"], state["iqr"])
         winsor = [c for c in state["winsor"] if c in out]
-        if winsor and self.get("winsor_mode") == "per_batch":
+        if winsor and per_batch:
             if df.isStreaming:
                 raise ValueError("winsor_mode='per_batch' needs the whole frame; fit with winsor_mode='fitted' for streams")
             limits = winsor_bounds(df, winsor, tuple(self.get("winsor_limits")), {c: out[c] for c in winsor})
@@ -142,12 +149,18 @@ class OutlierHandler(FittableStage, _Outliers, _Method):
     def _fit(self, df: DataFrame) -> OutlierModel:
         config, features = self.get("config"), self._features(df)
         logged, capped, winsor = (_present(config, s, features) for s in OUTLIER_STRATEGIES)
-        bounds = iqr_bounds(df, capped, self.get("iqr_factor"), self.get("method")) if capped else {}
+        factor, shares = self.get("iqr_factor"), tuple(self.get("winsor_limits"))
+        # limits of columns without IQR bounds come from the same passes as the bounds
+        first = [c for c in winsor if c not in capped]
+        if self.get("method") == "exact":
+            bounds, limits = outlier_limits(df, capped, first, factor, shares, _log_and_cap(df, first, logged, {}))
+        else:
+            bounds = iqr_bounds(df, capped, factor, self.get("method")) if capped else {}
+            limits = winsor_bounds(df, first, shares, _log_and_cap(df, first, logged, {}))
         bounds = {c: b for c, b in bounds.items() if b["lower"] is not None}
-        limits = {}
-        if winsor and self.get("winsor_mode") == "fitted":
-            exprs = _log_and_cap(df, winsor, logged, bounds)
-            limits = winsor_bounds(df, winsor, tuple(self.get("winsor_limits")), exprs)
+        both = [c for c in winsor if c in capped]
+        if both:
+            limits.update(winsor_bounds(df, both, shares, _log_and_cap(df, both, logged, bounds)))
         state = {"log": logged, "iqr": bounds, "winsor": winsor, "winsor_bounds": {c: list(b) for c, b in limits.items() if b}}
         return self._model(features, state)
 
@@ -287,7 +300,11 @@ class DataPreprocessor:
         with cached(needed, cache and df.storageLevel == StorageLevel.NONE) as data:
             # nothing is fitted on columns that are dropped: they take part as a name only
             data = data.withColumns({c: F.lit(None).cast("double") for c in features if c in gone})
-            self.model_ = Pipeline(stages=preprocessing_stages(self.config, features, **self.options)).fit(data)
+            models = []
+            for stage in preprocessing_stages(self.config, features, **self.options):
+                models.append(stage.fit(data))
+                data = models[-1].transform_training(data)
+        self.model_ = PipelineModel(models)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -295,8 +312,16 @@ class DataPreprocessor:
             raise ValueError("fit before transform")
         return self.model_.transform(df)
 
+    def transform_training(self, df: DataFrame) -> DataFrame:
+        """The transform of the very frame ``fit`` was given, without computing its limits again."""
+        if self.model_ is None:
+            raise ValueError("fit before transform")
+        for model in self.model_.stages:
+            df = model.transform_training(df)
+        return df
+
     def fit_transform(self, df: DataFrame, cache: bool = True) -> DataFrame:
-        return self.fit(df, cache).transform(df)
+        return self.fit(df, cache).transform_training(df)
 
     def get_feature_names_out(self) -> list[str]:
         return feature_names_out(self.model_, self.feature_names_in_)
