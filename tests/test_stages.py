@@ -6,6 +6,7 @@ from conftest import values
 
 from numerant.functions.columns import safe_div
 from numerant.operators import stats
+from numerant.plans.base import column_changes
 from numerant.plans.features import DomainFeatures, FeatureEngineer, InteractionFeatureCreator, PolynomialFeatureCreator
 from numerant.plans.preprocessing import (
     CorrelationReducer,
@@ -92,6 +93,26 @@ def test_winsor_per_batch_and_fitted(frame):
     assert values(wide.transform(train), "x") == winsor(data, 0.2, 0.1)
 
 
+@pytest.mark.parametrize("method", ["exact", "approx"])
+def test_bounds_and_winsor_on_one_column(frame, method):
+    data = [float(i) for i in range(40)] + [500.0, -500.0]
+    df = frame({"A": data, "W": data})
+    config = {"capping_iqr": ["A"], "capping_winsor": ["A", "W"], "log_transform": ["W"]}
+    model = OutlierHandler(config, method=method).fit(df)
+    b = model.get("state")["iqr"]["A"]
+    if method == "exact":
+        q1, q3 = np.quantile(data, [0.25, 0.75])
+        assert (b["lower"], b["upper"]) == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    wanted = winsor([min(max(v, b["lower"]), b["upper"]) for v in data])
+    for out in (model.transform(df), model.transform_training(df)):
+        assert values(out, "A") == pytest.approx(wanted)
+        assert values(out, "W") == pytest.approx(winsor([math.log1p(abs(v)) for v in data]))
+
+
+def test_column_changes():
+    assert column_changes(["a", "b", "c"], ["c", "d", "a"]) == (["b"], ["d"])
+
+
 def test_outlier_remove_changes_nothing(sample):
     assert fit_transform(OutlierHandler({"remove": ["A"], "no_action": ["B"]}), sample).collect() == sample.collect()
 
