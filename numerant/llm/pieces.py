@@ -172,7 +172,8 @@ class Lattice:
             x = logs[e] + beta[self.to[e]]
             top = np.maximum.reduceat(x, offsets)
             beta[these] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, counts)), offsets))
-        self.log = logs + beta[self.to] - beta[froms]  # of taking the edge, at its node: they sum to one
+        # Of taking the edge, at its node: they sum to one. Rounded, so that a batch's layout leaves no trace.
+        self.log = np.round(logs + beta[self.to] - beta[froms], 12)
         share = np.exp(self.log)
         run = np.cumsum(share)
         base = np.concatenate([[0.0], run])[self.first[froms]]
@@ -356,7 +357,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: i
                     for j, (edges, log, chance) in enumerate(found):
                         ids = edge_ids(edges, lattice, vocab)
                         rows.append(i)
-                        values.append((j, ids.astype(np.int32), log, chance, vocab.decode(ids.tolist()) == texts[i]))
+                        values.append((j, ids.astype(np.int32), round(log, 6), float(f"{chance:.6g}"), vocab.decode(ids.tolist()) == texts[i]))
                 kept = part.select([f.name for f in fields]).take(pa.array(rows, pa.int64()))
                 types = [pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.bool_()]
                 added = [pa.array([v[c] for v in values], t) for c, t in enumerate(types)]
