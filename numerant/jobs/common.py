@@ -6,7 +6,7 @@ import argparse
 import logging
 from collections.abc import Callable
 
-from ..session import get_spark, shared_folder
+from ..session import get_spark, remove_scratch, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -30,4 +30,6 @@ def run(name: str, args: argparse.Namespace, body: Callable) -> int:
         log.error("%s failed: %s", name, e)
     except Exception:
         log.exception("%s failed", name)
+    finally:
+        remove_scratch(spark)
     return 1

@@ -25,7 +25,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--key", nargs="+", default=[ROW_ID], help="columns handed through unchanged")
     p.add_argument("--no-feature-engineering", action="store_true")
     p.add_argument("--winsor-mode", choices=["per_batch", "fitted"], default="per_batch")
-    p.add_argument("--zero-division", choices=["null", "zero", "ieee"], default="null", help="a housing ratio over zero")
+    p.add_argument("--zero-division", choices=["null", "zero", "ieee"], default="zero", help="a housing ratio over zero; training takes no null")
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     return p.parse_args(argv)
 

@@ -28,6 +28,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--keep", nargs="*", default=[], help="columns handed through")
     p.add_argument("--stream", action="store_true", help="treat --input as a folder of arriving Parquet files")
     p.add_argument("--checkpoint", default=None)
+    p.add_argument("--files-per-trigger", type=int, default=None, help="stream: files in a micro-batch at most")
     p.add_argument("--once", action="store_true", help="stream: stop when all present files are scored")
     return p.parse_args(argv)
 
@@ -43,7 +44,7 @@ def score(spark, args) -> None:
         except AnalysisException:
             schema = HOUSING_SCHEMA
         query = start_scoring(
-            read_requests(spark, args.input, schema=schema), scorer, args.output, quarantine, args.checkpoint or f"{args.output.rstrip('/')}_checkpoint",
+            read_requests(spark, args.input, schema=schema, files_per_trigger=args.files_per_trigger), scorer, args.output, quarantine, args.checkpoint or f"{args.output.rstrip('/')}_checkpoint",
             args.keep, trigger={"availableNow": True} if args.once else None,
         )
         query.awaitTermination()
@@ -53,9 +54,8 @@ def score(spark, args) -> None:
         raise ValueError("no rows to score")
     with cached(validate(requests)) as validated:
         invalid_rows(validated).write.mode("overwrite").parquet(quarantine)
-        good = valid_rows(validated)
-        if not good.isEmpty():
-            scorer.score(good, args.keep).write.mode("overwrite").parquet(args.output)
+        # an empty table if no row is valid: the scores of an earlier run must not stay
+        scorer.score(valid_rows(validated), args.keep, allow_empty=True).write.mode("overwrite").parquet(args.output)
 
 
 def main(argv=None) -> int:

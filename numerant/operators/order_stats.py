@@ -318,8 +318,23 @@ def grouped_order_statistics(
     spark = df.sparkSession
     keys = list(keys)
     data = df.select(*keys, F.col(value).alias("x")).where(F.col("x").isNotNull())
-    bounds = data.groupBy(*keys).agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("rows"))
-    state = ranks.select(*keys, "rank").distinct().join(bounds, keys).withColumn("base", F.lit(0).cast("bigint"))
+    infinity = F.lit(float("inf"))
+    finite = F.abs(F.col("x").cast("double")) < infinity
+    bounds = data.groupBy(*keys).agg(
+        F.min(F.when(finite, F.col("x"))).alias("low"), F.max(F.when(finite, F.col("x"))).alias("high"), F.count_if(finite).alias("rows"),
+        F.count_if(F.col("x") == -infinity).alias("base"), F.count_if(F.col("x") == infinity).alias("above"),
+    )
+    asked = ranks.select(*keys, "rank").distinct().join(bounds, keys)
+    # Ranks among the infinite values are answered at once; the brackets hold finite ones.
+    lowest, highest = F.col("rank") < F.col("base"), F.col("rank") >= F.col("base") + F.col("rows")
+    kind = dict(df.dtypes)[value]
+    outside = asked.where(lowest | highest).select(
+        *keys, "rank", F.when(lowest, -infinity).otherwise(infinity).cast(kind).alias("value"),
+        F.when(lowest, F.lit(0)).otherwise(F.col("base") + F.col("rows")).cast("bigint").alias("less"),
+        F.when(lowest, F.col("base")).otherwise(F.col("above")).alias("ties"),
+    )
+    state = asked.where(~lowest & ~highest).select(*keys, "rank", "low", "high", "rows", "base")
+    data = data.where(finite)
     order = Window.partitionBy(*keys, "rank").orderBy("low", "high")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -366,7 +381,8 @@ def grouped_order_statistics(
         .where((F.col("less") <= F.col("rank")) & (F.col("rank") < F.col("less") + F.col("ties")))
         .select(*keys, "rank", F.col("x").alias("value"), "less", "ties")
     )
-    return settled.unionByName(fetched)
+    settled = settled.unionByName(fetched)
+    return settled if kind == "bigint" else settled.unionByName(outside)
 
 
 def grouped_quantiles(
@@ -409,7 +425,9 @@ def grouped_quantiles(
     for n, x in zip(names, h):
         a = F.col("_m")[F.floor(x)]
         b = F.col("_m")[F.least(F.floor(x) + 1, F.col("_n") - 1)]
-        cells.append((a + (b - a) * (x - F.floor(x))).alias(n))
+        # weighted as the built-in aggregate does it, so that infinite neighbours give the same
+        part = x - F.floor(x)
+        cells.append(F.when((part == 0) | (a == b), a).otherwise((1 - part) * a + part * b).alias(n))
     return out.unionByName(large.join(by_rank, "_id").select(*pick, *cells))
 
 

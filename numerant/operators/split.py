@@ -13,11 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import key_hash_words, quoted
 from ..session import scratch_path
-from .order_stats import FETCH_ROWS, grouped_order_statistics, order_statistics, ordinal
-from .sizing import BROADCAST_ROWS, broadcast_if_small
+from . import sizing
+from .order_stats import grouped_order_statistics, order_statistics, ordinal
+from .sizing import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -171,43 +173,83 @@ def _stratum_quotas(df: DataFrame, stratum: str, test_size: float | int) -> Data
     extra = n_test - strata.agg(F.sum("_quota")).first()[0]
     if extra == 0:
         return strata
-    if seen.strata <= BROADCAST_ROWS:
+    # The same order at any number of strata; only the way to count it off differs.
+    if seen.strata <= sizing.BROADCAST_ROWS:
         place = F.row_number().over(Window.orderBy(F.col("_rest").desc(), F.col("_s")))
         return strata.withColumn("_quota", F.col("_quota") + (place <= extra).cast("int"))
-    order = [-F.col("_rest"), F.xxhash64("_s")]
-    labelled = label_prefixes(strata, order, [(1, extra), (0, seen.strata - extra)], "_extra")
-    return labelled.withColumn("_quota", F.col("_quota") + F.col("_extra"))
+    places = numbered_in_order(strata.withColumn("_rest", -F.col("_rest")), ["_rest", "_s"], "_place")
+    return places.withColumn("_quota", F.col("_quota") + (F.col("_place") < extra).cast("int")).drop("_place")
+
+
+def numbered_in_order(df: DataFrame, order_by: Sequence[str], column: str) -> DataFrame:
+    """Number the rows 0, 1, ... in the order of columns of any type.
+
+    One range shuffle by the columns and a row hash (so a frequent key is spread out), written once
+    with the rows of each file in order; a row's number is its place in its file plus the rows of the files
+    before. The number of jobs does not depend on the values.
+    """
+    spark = df.sparkSession
+    keys = [*[quoted(c) for c in order_by], F.xxhash64(*[quoted(c) for c in df.columns])]
+    path = scratch_path(spark, "in-order")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))  # a row per partition of the shuffle
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.join(broadcast_if_small(files), "_file").withColumn(column, F.col("_start") + F.col("_at")).drop("_file", "_at", "_start")
 
 
 def _stratified(df: DataFrame, order: Sequence[Column], stratum: str, test_size: float | int, column: str) -> DataFrame:
-    words = [F.col(f"_w{i}") for i in range(len(order))]
-    data = df.withColumns({f"_w{i}": w for i, w in enumerate(order)})
-    quotas = _stratum_quotas(df, stratum, test_size).where("_quota > 0")
-    ranks = quotas.select(F.col("_s").alias(stratum), (F.col("_quota") - 1).alias("rank"))
-    cuts = grouped_order_statistics(data, [stratum], "_w0", ranks).select(
-        F.col(stratum).alias("_s"),
-        F.col("value").alias("_cut"),
-        (F.col("rank") + 1 - F.col("less")).alias("_need"),
-        F.col("ties").alias("_ties"),
-    )
-    path = scratch_path(df.sparkSession, "stratum-cuts")
-    cuts.write.parquet(path)
-    cuts = broadcast_if_small(df.sparkSession.read.parquet(path))
-    joined = data.join(cuts, F.col(stratum) == F.col("_s"), "left")
-    is_test = words[0] <= F.col("_cut")
-    torn = cuts.where("_need < _ties")
-    most = torn.agg(F.max("_ties")).first()[0]
-    if most is None:
-        labelled = joined.withColumn(column, F.when(is_test, "test").otherwise("train"))
-    else:
-        if most > FETCH_ROWS:
-            raise ValueError("a key repeated that often does not identify rows; split by a key that does")
-        tied = (words[0] == F.col("_cut")) & (F.col("_need") < F.col("_ties"))
-        decided = joined.where(~F.coalesce(tied, F.lit(False))).withColumn(column, F.when(is_test, "test").otherwise("train"))
-        place = F.row_number().over(Window.partitionBy(stratum).orderBy(*words[1:]))
-        ranked = joined.where(tied).withColumn(column, F.when(place <= F.col("_need"), "test").otherwise("train"))
-        labelled = decided.unionByName(ranked)
-    return labelled.select(*[quoted(c) for c in df.columns], column)
+    """Cuts per stratum, word by word: a word that many rows of a stratum share is decided by the next one."""
+    spark = df.sparkSession
+    words = [f"_w{i}" for i in range(len(order))]
+    data = df.withColumns(dict(zip(words, order)))
+    cuts = _stratum_quotas(df, stratum, test_size).where("_quota > 0").select("_s", F.col("_quota").alias("_need"))
+    open_, torn = cuts, data
+    for i, word in enumerate(words):
+        ranks = open_.select(F.col("_s").alias(stratum), (F.col("_need") - 1).alias("rank"))
+        found = grouped_order_statistics(torn, [stratum], word, ranks).select(
+            F.col(stratum).alias("_t"), F.col("value").alias(f"_cut{i}"),
+            (F.col("rank") + 1 - F.col("less")).alias("_inner"), F.col("ties").alias("_inner_ties"),
+        )
+        ties = F.col("_ties") if i else F.lit(None).cast("bigint")
+        cuts = cuts.join(found, F.col("_s") == F.col("_t"), "left").select(
+            "_s", *[f"_cut{j}" for j in range(i + 1)], F.coalesce("_inner", "_need").alias("_need"), F.coalesce(F.col("_inner_ties"), ties).alias("_ties")
+        )
+        path = scratch_path(spark, "stratum-cuts")
+        cuts.write.parquet(path)
+        cuts = spark.read.parquet(path)
+        open_ = cuts.where("_need < _ties")
+        if open_.isEmpty():
+            break
+        keys = open_.select(F.col("_s").alias("_o"), *[f"_cut{j}" for j in range(i + 1)])
+        same = F.col(stratum) == F.col("_o")
+        for j in range(i + 1):
+            same = same & (F.col(words[j]) == F.col(f"_cut{j}"))
+        torn = data.join(broadcast_if_small(keys), same).select(*data.columns)
+    depth = sum(c.startswith("_cut") for c in cuts.columns)
+    joined = data.join(broadcast_if_small(cuts), F.col(stratum) == F.col("_s"), "left")
+    inside, tied = F.lit(None).cast("boolean"), F.lit(True)
+    for j in reversed(range(depth)):
+        w, cut = F.col(words[j]), F.col(f"_cut{j}")  # null where an earlier word has decided
+        inside = F.when(cut.isNotNull(), F.when(w != cut, w < cut).otherwise(F.coalesce(inside, F.lit(True))))
+        tied = tied & (w == cut)
+    tied = F.coalesce(tied & (F.col("_need") < F.col("_ties")), F.lit(False))
+    label = F.when(inside, "test").otherwise("train")
+    names = [quoted(c) for c in df.columns]
+    labelled = joined.where(~tied).select(*names, label.alias(column))
+    if open_.isEmpty():
+        return labelled
+    # Rows alike in key and row hash are equal: counted, and written out as so many copies per part.
+    copies = joined.where(tied).groupBy(*names, "_need").agg(F.count("*").alias("_n"))
+    if copies.groupBy(quoted(stratum)).count().where("count > 1").limit(1).count():
+        raise ValueError("rows that differ share key and row hash; give a key that tells them apart")
+    parts = F.explode(F.array(
+        F.struct(F.lit("test").alias("part"), F.col("_need").alias("m")), F.struct(F.lit("train").alias("part"), (F.col("_n") - F.col("_need")).alias("m"))
+    ))
+    out = copies.withColumn("_p", parts).where("_p.m > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_p.m"))))
+    return labelled.unionByName(out.select(*names, F.col("_p.part").alias(column)))
 
 
 def train_test(df: DataFrame, column: str = "split") -> tuple[DataFrame, DataFrame]:
@@ -215,33 +257,29 @@ def train_test(df: DataFrame, column: str = "split") -> tuple[DataFrame, DataFra
     return tuple(df.where(F.col(column) == part).drop(column) for part in ("train", "test"))
 
 
-def text_words(df: DataFrame, column: str) -> list[Column]:
-    """Numbers that order texts as their bytes do: seven bytes each, then the length."""
-    data = quoted(column).cast("binary")
-    longest = df.agg(F.max(F.octet_length(data))).first()[0] or 0
-    digits = 14 * max(1, math.ceil(longest / 7))
-    padded = F.rpad(F.hex(data), digits, "0")
-    words = [F.conv(F.substring(padded, start, 14), 16, 10).cast("bigint") for start in range(1, digits, 14)]
-    return [*words, F.octet_length(data).cast("bigint")]
-
-
 def assign_folds(df: DataFrame, order_by: Sequence[str] | str, folds: int = 5, column: str = "fold") -> DataFrame:
     """Contiguous folds 0..k-1 in the given order; the first n mod k folds hold one row more."""
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     if folds < 2:
         raise ValueError("at least two folds are needed")
-    types, order = dict(df.dtypes), []
-    for c in names:
-        order += text_words(df, c) if types.get(c) == "string" else [ordinal(df, c)[0]]
+    kinds = [f.dataType for f in df.select(*map(quoted, names)).schema]
+    # A 64-bit number holds these exactly; texts, decimals and the like are put in order as they are.
+    plain = all(not isinstance(k, (T.StringType, T.DecimalType, T.BinaryType)) for k in kinds)
+    order = [ordinal(df, c)[0] for c in names] if plain else [quoted(c) for c in names]
     seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(order)]).first()
     n = seen.n
     if n < folds:
         raise ValueError(f"{n} rows cannot fill {folds} folds")
     if any(seen[f"c{i}"] < n for i in range(len(order))):
         raise ValueError(f"order columns {names} hold missing values")
-    order.append(F.xxhash64(*[quoted(c) for c in df.columns]))
-    parts = [(i, n // folds + (i < n % folds)) for i in range(folds)]
-    return label_prefixes(df, order, parts, column)
+    if plain:
+        order.append(F.xxhash64(*[quoted(c) for c in df.columns]))
+        parts = [(i, n // folds + (i < n % folds)) for i in range(folds)]
+        return label_prefixes(df, order, parts, column)
+    place, longer = F.col("_place"), n % folds
+    first = longer * (n // folds + 1)  # rows of the folds that hold one row more
+    fold = F.when(place < first, F.expr(f"_place div {n // folds + 1}")).otherwise(longer + F.expr(f"(_place - {first}) div {n // folds}"))
+    return numbered_in_order(df, names, "_place").withColumn(column, fold.cast("int")).drop("_place")
 
 
 def leaked_keys(train: DataFrame, test: DataFrame, key: Sequence[str] | str) -> DataFrame:

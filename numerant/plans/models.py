@@ -36,7 +36,14 @@ class LabelStats:
 Builder = Callable[[dict[str, Any], LabelStats], Any]
 
 # Parameters that steer speed or printing elsewhere and have no meaning here.
-NO_EFFECT = {"n_jobs", "verbose", "verbosity", "logging_level", "train_dir", "thread_count", "silent", "bootstrap"}
+NO_EFFECT = {"n_jobs", "verbose", "verbosity", "logging_level", "train_dir", "thread_count", "silent"}
+DEEPEST = 30  # levels that MLlib grows
+
+
+def _depth(levels: int) -> int:
+    if levels > DEEPEST:
+        raise ValueError(f"a depth of {levels} is asked for; MLlib grows {DEEPEST} levels at most")
+    return levels
 
 
 def _leftover(name: str, params: Mapping[str, Any]) -> None:
@@ -56,11 +63,15 @@ def _tree_columns(estimator):
 
 
 def _random_forest(params: dict[str, Any], stats: LabelStats):
-    """100 trees over all features; depth up to 30, the most MLlib grows."""
+    """100 trees over all features on bootstrap samples; without a depth, the 30 levels MLlib grows at most.
+
+    Splits are looked for among ``max_bins`` (default 32, MLlib's own) quantile bins of each feature.
+    """
     depth = params.pop("max_depth", None)
     out = RandomForestRegressor(
         numTrees=int(params.pop("n_estimators", 100)),
-        maxDepth=min(int(depth), 30) if depth else 30,
+        maxDepth=_depth(int(depth)) if depth else DEEPEST,
+        bootstrap=bool(params.pop("bootstrap", True)),
         minInstancesPerNode=int(params.pop("min_samples_leaf", 1)),
         featureSubsetStrategy=_subset(params.pop("max_features", 1.0)),
         maxBins=int(params.pop("max_bins", 32)),
@@ -81,7 +92,7 @@ def _boosting(depth_key: str, depth: int, step: float, trees_key: str, trees: in
         if limit and int(limit) > 0:
             levels = min(levels, int(limit))
         out = GBTRegressor(
-            maxDepth=min(levels, 30),
+            maxDepth=_depth(levels),
             stepSize=float(params.pop("learning_rate", step)),
             maxIter=int(params.pop(trees_key, params.pop("n_estimators", trees))),
             subsamplingRate=float(params.pop("subsample", 1.0)),

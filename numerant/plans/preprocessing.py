@@ -320,6 +320,18 @@ class DataPreprocessor:
             df = model.transform_training(df)
         return df
 
+    def with_fitted_limits(self) -> DataPreprocessor:
+        """The same chain, whose winsor limits are those of the training rows: what serving needs."""
+        if self.model_ is None:
+            raise ValueError("fit before transform")
+        stages = [s.copy() for s in self.model_.stages]
+        for stage in stages:
+            if stage.hasParam("winsor_mode"):
+                stage._set(winsor_mode="fitted")
+        out = DataPreprocessor(self.config, self.passthrough, self.features, **{**self.options, "winsor_mode": "fitted"})
+        out.model_, out.feature_names_in_ = PipelineModel(stages), self.feature_names_in_
+        return out
+
     def fit_transform(self, df: DataFrame, cache: bool = True) -> DataFrame:
         return self.fit(df, cache).transform_training(df)
 

@@ -40,6 +40,8 @@ class Scorer:
     """Loaded preprocessing, engineering and model, applied in this order.
 
     Both fitted parts have to be there: a model trained on prepared columns cannot score raw ones.
+    Winsor limits are those of the training rows, whatever mode they were fitted in: the score of a
+    row does not depend on the rows, or the micro-batch, it comes with.
     """
 
     def __init__(
@@ -48,7 +50,7 @@ class Scorer:
     ):
         if preprocessor is None or preprocessor.model_ is None:
             raise ValueError("the preprocessor is not loaded")
-        self.preprocessor, self.engineer, self.model = preprocessor, engineer, model
+        self.preprocessor, self.engineer, self.model = preprocessor.with_fitted_limits(), engineer, model
         self.model_name, self.model_version = model_name, model_version
 
     @staticmethod
@@ -60,9 +62,9 @@ class Scorer:
         prepared = self.preprocessor.transform(df)
         return self.engineer.transform(prepared) if self.engineer else prepared
 
-    def score(self, df: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
+    def score(self, df: DataFrame, passthrough: Sequence[str] = (), allow_empty: bool = False) -> DataFrame:
         """The handed-through columns, predicted_price, model_name and model_version of every row."""
-        if not df.isStreaming and df.isEmpty():
+        if not (df.isStreaming or allow_empty) and df.isEmpty():
             raise ValueError("no rows to score")
         out = predict(self.model, self.preprocess(df))
         return out.select(

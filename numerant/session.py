@@ -25,10 +25,13 @@ def get_spark(app_name: str = "numerant") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a session that names none (a laptop, a test) falls back to a local temporary folder.
+    A local session that names none (a laptop, a test) gets a temporary folder; on a cluster that
+    would be a different disk for each executor, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="numerant-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if not spark.sparkContext.getCheckpointDir():
@@ -37,8 +40,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/numerant/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, among those of this application."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/numerant/{spark.sparkContext.applicationId}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on whatever file system it is on; False if there was none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written below the shared folder. Frames read from there end with it."""
+    remove_path(spark, _scratch(spark))
 
 
 def spread(scan: DataFrame) -> DataFrame:

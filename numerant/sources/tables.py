@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import missing_to_null, quoted
-from ..session import spread
+from ..session import exists, remove_path, spread
 
 log = logging.getLogger(__name__)
 
@@ -35,11 +35,24 @@ def _cell(name: str) -> Column:
     return F.when(~F.trim(text).isin(*NA_TOKENS), text)
 
 
-def _typed_csv(raw: DataFrame, schema: T.StructType | None) -> DataFrame:
-    """Text cells to typed columns: NA texts to NULL, numbers to bigint or double."""
+def _typed_csv(raw: DataFrame, schema: T.StructType | None, bad_cells: str = "raise") -> DataFrame:
+    """Text cells to typed columns: NA texts to NULL, numbers to bigint or double.
+
+    With a schema, cells that are neither missing nor of their type are counted (one pass): an error that names
+    columns and numbers, or with ``bad_cells='null'`` a warning, and the cells become NULL.
+    """
+    if bad_cells not in ("raise", "null"):
+        raise ValueError(f"unknown bad_cells '{bad_cells}'")
     if schema is not None:
         wanted = {f.name: f.dataType for f in schema}
-        return raw.select(*[_cell(c).try_cast(wanted.get(c, T.StringType())).alias(c) for c in raw.columns])
+        cells = {c: _cell(c).try_cast(wanted.get(c, T.StringType())) for c in raw.columns}
+        counts = raw.agg(*[F.count_if(_cell(c).isNotNull() & v.isNull()).alias(f"b{i}") for i, (c, v) in enumerate(cells.items())]).first()
+        bad = {c: counts[f"b{i}"] for i, c in enumerate(cells) if counts[f"b{i}"]}
+        if bad and bad_cells == "raise":
+            raise ValueError(f"cells that are not of their column's type: {bad}")
+        if bad:
+            log.warning("cells that are not of their column's type, read as missing: %s", bad)
+        return raw.select(*[v.alias(c) for c, v in cells.items()])
     names = raw.columns
     seen = raw.agg(
         *[F.coalesce(F.bool_and(_cell(c).rlike(NUMBER)), F.lit(True)).alias(f"n{i}") for i, c in enumerate(names)],
@@ -49,11 +62,24 @@ def _typed_csv(raw: DataFrame, schema: T.StructType | None) -> DataFrame:
     return raw.select(*[_cell(c).cast(t).alias(c) for c, t in zip(names, types)])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV file or folder with a header, or Parquet. Missing values come out as NULL."""
+def _breaks_in_cells(spark: SparkSession, path: str) -> bool:
+    """Whether a line ends inside quotes: some cell then holds a line break."""
+    return not spark.read.text(path).where(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool | None = None, bad_cells: str = "raise"
+) -> DataFrame:
+    """A CSV file or folder with a header, or Parquet. Missing values come out as NULL.
+
+    ``multiline``: cells hold line breaks; such a CSV file is read by one task. If not given, the lines are
+    looked through for it first.
+    """
     try:
         if _format_of(path) == "csv":
-            return _typed_csv(spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"'), schema)
+            whole = _breaks_in_cells(spark, path) if multiline is None else multiline
+            raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=whole)
+            return _typed_csv(raw, schema, bad_cells)
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return missing_to_null(reader.parquet(path))
     except AnalysisException as e:
@@ -99,26 +125,32 @@ def save_split_data(
     """Write a labelled frame, the target as last column.
 
     Parquet: one table partitioned by the label, written in one pass. CSV: one folder per label
-    with headers, ``train.csv`` and ``test.csv``.
+    with headers, ``train.csv`` and ``test.csv``. What an earlier run left in the other format is removed.
     """
+    spark, base = labelled.sparkSession, folder.rstrip("/")
     ordered = target_last(labelled.drop(column), target).columns
+    files = {"parquet": [f"{base}/split{suffix}"], "csv": [f"{base}/{part}{suffix}.csv" for part in ("train", "test")]}
+    if fmt not in files:
+        raise ValueError(f"unknown format '{fmt}'")
     if fmt == "parquet":
         out = labelled.select(*[quoted(c) for c in ordered], column)
-        out.write.mode("overwrite").partitionBy(column).parquet(f"{folder.rstrip('/')}/split{suffix}")
-    elif fmt == "csv":
-        for part in ("train", "test"):
-            rows = labelled.where(F.col(column) == part).select(*[quoted(c) for c in ordered])
-            rows.write.mode("overwrite").csv(f"{folder.rstrip('/')}/{part}{suffix}.csv", header=True)
+        out.write.mode("overwrite").partitionBy(column).parquet(files[fmt][0])
     else:
-        raise ValueError(f"unknown format '{fmt}'")
+        for part, path in zip(("train", "test"), files[fmt]):
+            rows = labelled.where(F.col(column) == part).select(*[quoted(c) for c in ordered])
+            rows.write.mode("overwrite").csv(path, header=True)
+    for path in files["csv" if fmt == "parquet" else "parquet"]:
+        remove_path(spark, path)
 
 
 def load_split_data(
     spark: SparkSession, folder: str, target: str, suffix: str = "", schema: T.StructType | None = None,
     parts: Sequence[str] = ("train", "test"),
 ) -> tuple[DataFrame, ...]:
-    """The parts written by ``save_split_data`` (either format); all of them must exist."""
+    """The parts written by ``save_split_data`` (either format); all of them must exist, in one format."""
     base = folder.rstrip("/")
+    if exists(spark, f"{base}/split{suffix}") and any(exists(spark, f"{base}/{p}{suffix}.csv") for p in parts):
+        raise ValueError(f"{folder} holds a split both as Parquet and as CSV; which one is current cannot be told")
     try:
         table = spread(read_table(spark, f"{base}/split{suffix}"))
         found = tuple(table.where(F.col("split") == p).drop("split") for p in parts)

@@ -12,8 +12,12 @@ from ..functions.rules import HOUSING_RULES, HOUSING_SCHEMA, Rule
 from ..plans.scoring import Scorer, invalid_rows, valid_rows, validate
 
 
-def read_requests(spark: SparkSession, folder: str, fmt: str = "parquet", schema: T.StructType = HOUSING_SCHEMA, **options) -> DataFrame:
-    """Requests arriving as files."""
+def read_requests(
+    spark: SparkSession, folder: str, fmt: str = "parquet", schema: T.StructType = HOUSING_SCHEMA, files_per_trigger: int | None = None, **options
+) -> DataFrame:
+    """Requests arriving as files; ``files_per_trigger`` bounds a micro-batch, a backlog is then worked off in parts."""
+    if files_per_trigger:
+        options["maxFilesPerTrigger"] = files_per_trigger
     return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 
 
@@ -29,22 +33,15 @@ def start_scoring(
     """Score valid rows to one table and write invalid ones, with their reasons, to another.
 
     Every micro-batch owns a folder ``batch_id=n`` that a replay overwrites, so a batch retried
-    after a failure is not written twice. A micro-batch without rows writes nothing.
+    after a failure is not written twice. Both parts are projections of the batch, each written in
+    one pass without probing; a part without rows is an empty table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        validated = validate(batch, rules).persist()
-        try:
-            good = valid_rows(validated)
-            if not good.isEmpty():
-                scorer.score(good, passthrough).write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
-            bad = invalid_rows(validated)
-            if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
-        finally:
-            validated.unpersist()
+        validated = validate(batch, rules)
+        scored = scorer.score(valid_rows(validated), passthrough, allow_empty=True)
+        scored.write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
+        invalid_rows(validated).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "15 seconds"})).start()
