@@ -14,7 +14,7 @@ sketch is under 1e-6.
 ``classes``: texts with the same words are one node from the start. In a bucket (nodes with a common
 sketch) each node is compared with the leader, the node that shares most buckets, as a copied original
 does. Nodes unlike their leader are compared among themselves: in one task if the rest of the bucket
-is at most ``REST`` nodes, else by another leader. So a bucket of n near copies costs n comparisons, and
+is at most ``REST`` nodes with ``REST_WORDS`` words, else by another leader. So a bucket of n near copies costs n comparisons, and
 pairs are never listed. Verified links make components by alternating large and small stars.
 
 Defined results: a text with fewer than five words has one shingle of all its words; texts without a
@@ -40,7 +40,8 @@ WORDS = 5
 BANDS = 20
 PICKED = 3
 SIMILARITY = 0.8
-REST = 256
+REST = 1024  # nodes of a bucket compared in one task
+REST_WORDS = 1_000_000  # and their words
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -162,16 +163,37 @@ def compared(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_words", "b_words").mapInArrow(compare, "a long, b long, similar boolean")
 
 
+def shared_counts(labels: list[np.ndarray], block: int = 4096) -> np.ndarray:
+    """How many labelled shingles each two texts share, from products of a 0/1 matrix, some columns at a time."""
+    rows = np.repeat(np.arange(len(labels)), [len(x) for x in labels])
+    _, column, often = np.unique(np.concatenate(labels) if labels else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
+    number = np.cumsum(often > 1) - 1  # a shingle of one text is shared by none
+    rows, column = rows[often[column] > 1], number[column[often[column] > 1]]
+    out = np.zeros((len(labels), len(labels)), np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, block):
+        here = (column >= start) & (column < start + block)
+        part = np.zeros((len(labels), block), np.float32)
+        part[rows[here], column[here] - start] = 1
+        out += part @ part.T
+    return out
+
+
 def _among(key: tuple, nodes: pa.Table) -> pa.Table:
-    """Links inside the small rest of a bucket: each node with the leaders so far; without one it is a leader."""
-    leaders: list[tuple[int, np.ndarray]] = []
+    """Links inside the rest of a bucket: each node with the leaders so far; without one it is a leader."""
+    order = np.argsort(nodes.column("node").to_numpy())
+    ids = nodes.column("node").to_numpy()[order].tolist()
+    words = nodes.column("words").to_pylist()
+    each = [shingles(np.array(words[i], np.int64)) for i in order]
+    sizes = np.array([len(x) for x in each])
+    need = np.ceil(SIMILARITY * (sizes[:, None] + sizes[None, :]) / (1 + SIMILARITY) - 1e-9)
+    enough = shared_counts([labelled(x) for x in each]) >= need  # fewer in common cannot be aligned
+    leaders: list[int] = []
     links = []
-    for node, words in sorted(zip(nodes.column("node").to_pylist(), nodes.column("words")), key=lambda x: x[0]):
-        mine = shingles(np.array(words.values))
-        near = [a for a, other in leaders if aligned(other, mine)]
-        links += [(a, node) for a in near]
+    for i in range(len(ids)):
+        near = [j for j in leaders if enough[j, i] and aligned(each[j], each[i])]
+        links += [(ids[j], ids[i]) for j in near]
         if not near:
-            leaders.append((node, mine))
+            leaders.append(i)
     return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
@@ -197,11 +219,13 @@ def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
         found = found.union(checked.where("similar").select("a", "b"))
         unlike = checked.where("not similar").select(F.col("a").alias("leader"), F.col("b").alias("node"))
         rest = led.join(unlike, ["leader", "node"]).select("bucket", "node", "rank")
-        left = rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        left = rest.join(words.select("node", F.size("words").alias("size")), "node")
+        left = left.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size")).where("n > 1")
         rest = written(rest.join(left, "bucket"), "near-rest")
-        small = rest.where(F.col("n") <= REST).select("bucket", "node").join(words, "node")
-        found = found.union(small.groupBy("bucket").applyInArrow(_among, "a long, b long"))
-        open_ = rest.where(F.col("n") > REST).drop("n")
+        fits = (F.col("n") <= REST) & (F.col("size") <= REST_WORDS)
+        small = rest.where(fits).select("bucket", "node").join(words, "node")
+        found = found.union(written(small.groupBy("bucket").applyInArrow(_among, "a long, b long"), "near-among"))
+        open_ = rest.where(~fits).select("bucket", "node", "rank")
         if open_.isEmpty():
             return written(found.distinct(), "near-links")
 
