@@ -1,6 +1,6 @@
 """Registered queries and the SQL that gives the same rows."""
 
-from . import jobs, modeling, stages, statistics, streams  # noqa: F401
+from . import chains, jobs, modeling, stages, statistics, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -14,7 +14,12 @@ from ..session import cached, scratch_path
 from ..sources.tables import load_processed_data, save_processed_data
 from .modeling import ORDER_CTE, RIDGE, SCORE_CTES, fitted_scorer, order_rows, sql_linear
 from .registry import H_COLUMNS, H_CTE, housing, query, r, rounded, sql_metrics, sql_r, union_all
-from .statistics import SPLIT_CTE, order_split
+from .statistics import SPLIT_CTE, _corr_sql, order_split
+
+_DESCRIBED = {
+    "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "q1": "quantile_cont({c}, 0.25)", "median": "quantile_cont({c}, 0.5)",
+    "q3": "quantile_cont({c}, 0.75)", "max": "max({c})",
+}
 
 
 @query("src3_src4_processed_tables", f"WITH {SPLIT_CTE} SELECT count(*) AS \"rows\", {sql_r('avg(o_totalprice)', 4)} AS mean FROM labelled WHERE split = 'test'")
@@ -56,12 +61,40 @@ def run_log(spark, sf_dir):
 
 @query(
     "job1_profile",
-    f"WITH {H_CTE} " + union_all([f"SELECT '{c}' AS \"column\", count(*) = count({c}) AS no_action FROM h" for c in H_COLUMNS]),
+    f"WITH {H_CTE} " + union_all(
+        [f"SELECT 'no_action' AS part, '{c}' AS name, '' AS other, (count(*) = count({c}))::INT::DOUBLE AS value FROM h" for c in H_COLUMNS]
+        + [f"SELECT 'nulls', '{c}', '', (count(*) - count({c}))::DOUBLE FROM h" for c in H_COLUMNS]
+        + [f"SELECT '{k}', '{c}', '', {sql_r(e.format(c=c), 4)} FROM h" for c in H_COLUMNS for k, e in _DESCRIBED.items()]
+        + [
+            f"SELECT 'outliers', '{c}', '', count(*) FILTER ({c} < q1 - 1.5::double * (q3 - q1) OR {c} > q3 + 1.5::double * (q3 - q1))::DOUBLE "
+            f"FROM h, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM h)" for c in H_COLUMNS
+        ]
+        + [f"SELECT 'corr', '{a}', '{b}', {sql_r(_corr_sql(a, b), 4)} FROM h" for a in H_COLUMNS for b in H_COLUMNS]
+        + ["SELECT 'duplicates', '', '', (sum(c - 1))::DOUBLE FROM (SELECT count(*) AS c FROM h GROUP BY " + ", ".join(H_COLUMNS) + ")"]
+    ),
 )
-def profile_config(spark, sf_dir):
-    """Profile the view; which columns the suggested configuration leaves alone."""
-    config = profile(housing(spark, sf_dir)).config["feature_processing"]["handling_na"]
-    return spark.createDataFrame([(c, c in config["no_action"]) for c in H_COLUMNS], "column string, no_action boolean")
+def profile_tables(spark, sf_dir):
+    """All tables of the profile of the view, as one: nulls, description, outliers, correlations, duplicates, configuration."""
+    p = profile(housing(spark, sf_dir))
+    alone = p.config["feature_processing"]["handling_na"]["no_action"]
+    cell = lambda part, name, other, value: F.struct(F.lit(part).alias("part"), name.alias("name"), other.alias("other"), value.cast("double").alias("value"))
+    none = F.lit("")
+
+    def of(df, *cells):
+        return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+    c = F.col("column")
+    parts = [
+        of(p.nulls, cell("no_action", c, none, c.isin(alone).cast("int")), cell("nulls", c, none, F.col("nulls"))),
+        of(p.describe, *[cell(k, c, none, r(F.col(k), 4)) for k in _DESCRIBED]),
+        of(p.outliers, cell("outliers", c, none, F.col("outliers"))),
+        of(p.correlations, cell("corr", F.col("col_a"), F.col("col_b"), r(F.col("corr"), 4))),
+        of(p.duplicates, cell("duplicates", none, none, F.col("duplicates"))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query(

@@ -33,13 +33,13 @@ def _null_counts_sql(source: str, columns, extra: str = "") -> str:
 @query(
     "src1_csv_scan",
     f"WITH {H_CTE} " + union_all(
-        [f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(*) AS \"rows\", {sql_r(f'avg({c})')} AS mean FROM h" for c in ("CRIM", "CHAS", "RM", "MEDV")]
+        [f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(*) AS \"rows\", {sql_r(f'avg({c})')} AS mean FROM h" for c in H_COLUMNS]
     ),
 )
 def csv_scan(spark, sf_dir):
     """Write a CSV with NA cells, scan it with inferred types, count missing values."""
     path = scratch_path(spark, "csv") + ".csv"
-    housing(spark, sf_dir).select("CRIM", "CHAS", "RM", "MEDV").write.csv(path, header=True, nullValue="NA")
+    housing(spark, sf_dir).write.csv(path, header=True, nullValue="NA")
     df = load_raw_data(spark, path)
     means = stats.moments(df, df.columns)
     rows = [(r_["column"], r_["nulls"], r_["rows"], means[r_["column"]]["mean"]) for r_ in stats.null_counts(df).collect()]
@@ -223,18 +223,15 @@ def corr_matrix(spark, sf_dir):
         return rounded(kept(stats.correlations(h)))
 
 
-# INDUS and PTRATIO of the view are the same column but for scale: one of them, so that no ranks tie.
-_UNTIED = [c for c in FEATURES if c != "INDUS"]
-
-
 @query(
     "ord5_top_correlations",
-    f"WITH {H_CTE}, c AS (" + union_all([f"SELECT '{c}' AS \"column\", {sql_r(_corr_sql(c, 'B'))} AS corr FROM h" for c in _UNTIED])
+    f"WITH {H_CTE}, c AS (" + union_all([f"SELECT '{c}' AS \"column\", {sql_r(_corr_sql(c, 'B'))} AS corr FROM h" for c in FEATURES])
     + ") SELECT * FROM c ORDER BY corr DESC NULLS LAST, 1 LIMIT 5",
 )
 def top_correlations(spark, sf_dir):
+    """INDUS and PTRATIO are one column but for scale: they tie, and the name decides."""
     with cached(housing(spark, sf_dir)) as h:
-        return rounded(kept(stats.correlations_with(h, "B", _UNTIED, top=5)))
+        return rounded(kept(stats.correlations_with(h, "B", FEATURES, top=5)))
 
 
 @query(
@@ -280,10 +277,13 @@ def quartile_profile(spark, sf_dir):
 
 @query(
     "agg17_duplicate_rows",
-    "SELECT sum(c)::BIGINT AS \"rows\", sum(c - 1)::BIGINT AS duplicates FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_partkey, l_quantity, l_returnflag)",
+    "WITH u AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 10 = 0) "
+    "SELECT sum(c)::BIGINT AS \"rows\", sum(c - 1)::BIGINT AS duplicates FROM (SELECT count(*) AS c FROM u GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)",
 )
 def duplicate_rows(spark, sf_dir):
-    return stats.duplicate_rows(table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_returnflag"))
+    """All columns of a table that holds part of its rows twice."""
+    lines = table(spark, sf_dir, "lineitem")
+    return stats.duplicate_rows(lines.unionByName(lines.where("l_orderkey % 10 = 0")))
 
 
 def histogram_sql(source: str, columns: dict[str, str], bins: int = 30) -> str:
@@ -303,9 +303,9 @@ def histogram(spark, sf_dir):
     return stats.histogram(table(spark, sf_dir, "lineitem"), LINE).select("column", "bin", "count")
 
 
-@query("agg25_value_range", "SELECT min(least(l_quantity, l_extendedprice, l_tax)) AS min_value, max(greatest(l_quantity, l_extendedprice, l_tax)) AS max_value FROM lineitem")
+@query("agg25_value_range", "SELECT min(least(l_quantity, l_extendedprice, l_discount, l_tax)) AS min_value, max(greatest(l_quantity, l_extendedprice, l_discount, l_tax)) AS max_value FROM lineitem")
 def value_range(spark, sf_dir):
-    return stats.value_range(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
+    return stats.value_range(table(spark, sf_dir, "lineitem"), LINE)
 
 
 @query(

@@ -251,14 +251,16 @@ def correlations(
     def shifted(c: str) -> Column:
         return as_double(c) - F.lit(means[c])
 
+    # Of a square matrix the pairs on and above the diagonal: a cell meets the columns from its own on.
+    square = columns == against
     data = df.select(
         F.array(*[shifted(c) for c in columns]).alias("a"),
-        F.explode(F.array(*[F.struct(F.lit(c).alias("col_a"), shifted(c).alias("x")) for c in against])).alias("e"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("col_a"), shifted(c).alias("x")) for i, c in enumerate(against)])).alias("e"),
     ).where("e.x IS NOT NULL")
     x = F.col("e.x")
     pairs = []
     for j, c in enumerate(columns):
-        y = F.get("a", F.lit(j))
+        y = F.when(F.col("e.i") <= j, F.get("a", F.lit(j))) if square else F.get("a", F.lit(j))
         both = F.when(y.isNotNull(), x)
         parts = {"n": F.count(y).cast("double"), "sx": F.sum(both), "sxx": F.sum(both * both), "sy": F.sum(y), "syy": F.sum(y * y), "sxy": F.sum(x * y)}
         pairs.append(F.struct(F.lit(c).alias("col_b"), *[v.alias(k) for k, v in parts.items()]))
@@ -268,15 +270,21 @@ def correlations(
     live = (vx > F.col("sxx") * 1e-14) & (vy > F.col("syy") * 1e-14)
     corr = F.when(live, F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))))
     found = sums.select("col_a", "col_b", F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr).alias("corr"))
+    if square:
+        found = found.where("corr IS NOT NULL OR col_a = col_b")
+        found = found.union(found.where("col_a <> col_b").select("col_b", "col_a", "corr"))
     # a column without any value has no group of its own
     grid = df.sparkSession.createDataFrame([(a, b) for a in against for b in columns], "col_a string, col_b string")
     return grid.join(F.broadcast(found), ["col_a", "col_b"], "left").select("col_a", "col_b", "corr")
 
 
 def correlations_with(df: DataFrame, column: str, columns: Sequence[str] | None = None, top: int | None = 5) -> DataFrame:
-    """(column, corr) of one column with all (itself included), strongest positive first."""
+    """(column, corr) of one column with all (itself included), strongest positive first.
+
+    What differs only by rounding is a tie, in the order of the names.
+    """
     found = correlations(df, columns, against=[column]).select(F.col("col_b").alias("column"), "corr")
-    found = found.orderBy(F.desc_nulls_last("corr"), "column")
+    found = found.orderBy(F.desc_nulls_last(F.round("corr", 9)), "column")
     return found.limit(top) if top else found
 
 
