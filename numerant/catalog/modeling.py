@@ -209,12 +209,15 @@ def fold_means(spark, sf_dir):
 # One prepared feature and a ridge on it: the whole path from raw rows to scores in closed form.
 SCORE_CONFIG = {
     "handling_na": {"median": ["LSTAT"]},
-    "handling_outliers": {"log_transform": ["LSTAT"]},
+    "handling_outliers": {"log_transform": ["LSTAT"], "capping_winsor": ["LSTAT"]},
     "handling_correlated_features": {"remove": [c for c in FEATURES if c != "LSTAT"]},
     "scaler": "StandardScaler",
 }
 SCORE_CTES = (
-    f"{H_CTE}, i AS (SELECT ln(1 + abs(coalesce(LSTAT, {sql_median('LSTAT', 'h')}))) AS x, MEDV AS y, CRIM, CHAS, AGE, LSTAT FROM h), "
+    f"{H_CTE}, u AS (SELECT ln(1 + abs(coalesce(LSTAT, {sql_median('LSTAT', 'h')}))) AS x, MEDV AS y, CRIM, CHAS, AGE, LSTAT FROM h), "
+    "wl AS (SELECT max(x) FILTER (rn = floor(0.05::double * n)::BIGINT + 1) AS lo, max(x) FILTER (rn = n - floor(0.05::double * n)::BIGINT) AS hi "
+    "FROM (SELECT x, row_number() OVER (ORDER BY x) AS rn, count(*) OVER () AS n FROM u)), "
+    "i AS (SELECT least(greatest(x, lo), hi) AS x, y, CRIM, CHAS, AGE, LSTAT FROM u, wl), "
     "z AS (SELECT *, (x - (SELECT avg(x) FROM i)) / (SELECT stddev_pop(x) FROM i) AS z FROM i), "
     f"coef AS ({sql_linear('z', 'y', 'z')})"
 )
@@ -224,7 +227,7 @@ def fitted_scorer(h: DataFrame) -> Scorer:
     """Preprocessing and ridge fitted on the view."""
     with cached(h) as h:
         prep = DataPreprocessor(SCORE_CONFIG, ["MEDV"]).fit(h)
-        rows = assemble(prep.transform(h), ["LSTAT"], "MEDV")
+        rows = assemble(prep.transform_training(h), ["LSTAT"], "MEDV")
         model = fit_regressor(REGISTRY[("sklearn.linear_model", "Ridge")], {}, rows)
     return Scorer(prep, None, as_pipeline(model, ["LSTAT"]), "ridge", "1.0.0")
 

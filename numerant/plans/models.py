@@ -183,10 +183,31 @@ def label_stats(assembled: DataFrame) -> LabelStats:
     return LabelStats(row.n, row.s or 0.0)
 
 
-def fit_regressor(builder: Builder, params: Mapping[str, Any], assembled: DataFrame):
-    """Fit one estimator on assembled rows."""
+def label_stats_without(assembled: DataFrame, part: str) -> dict[Any, LabelStats]:
+    """For each value of ``part`` the label statistics of all other rows: one pass for all of them.
+
+    Means and squared deviations of the parts are put together, not raw squares, which would lose digits.
+    """
+    rows = assembled.groupBy(part).agg(F.count(LABEL).alias("n"), F.avg(LABEL).alias("m"), F.var_pop(LABEL).alias("v")).collect()
+    out = {}
+    for left_out in rows:
+        n, mean, squares = 0, 0.0, 0.0
+        for r in rows:
+            if r is left_out or not r["n"]:
+                continue
+            gap, total = r["m"] - mean, n + r["n"]
+            squares += r["v"] * r["n"] + gap * gap * n * r["n"] / total
+            mean, n = mean + gap * r["n"] / total, total
+        if not n:
+            raise ValueError("no rows to train on")
+        out[left_out[part]] = LabelStats(n, math.sqrt(squares / n))
+    return out
+
+
+def fit_regressor(builder: Builder, params: Mapping[str, Any], assembled: DataFrame, stats: LabelStats | None = None):
+    """Fit one estimator on assembled rows, whose label statistics may be known."""
     shared_folder(assembled.sparkSession)  # trees checkpoint their node assignments there
-    return builder(dict(params), label_stats(assembled)).fit(assembled)
+    return builder(dict(params), stats or label_stats(assembled)).fit(assembled)
 
 
 def as_pipeline(model, features: Sequence[str]) -> PipelineModel:

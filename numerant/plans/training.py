@@ -21,7 +21,7 @@ from ..operators.stats import columns_by_missing
 from ..session import cached
 from ..sources.runs import RunLog
 from ..sources.tables import ROW_ID, load_processed_data
-from .models import LABEL, PREDICTION, as_pipeline, assemble, fit_regressor, load_model_class, predict
+from .models import LABEL, PREDICTION, as_pipeline, assemble, fit_regressor, label_stats_without, load_model_class, predict
 
 log = logging.getLogger(__name__)
 
@@ -49,9 +49,10 @@ def cross_validate(
         raise ValueError(f"unknown scoring '{scoring}', only {sorted(SCORINGS)}")
     metric, factor = SCORINGS[scoring]
     spark = folded.sparkSession
+    stats = label_stats_without(folded, FOLD)
 
     def score(fold: int) -> tuple[int, float]:
-        model = fit_regressor(builder, params, folded.where(F.col(FOLD) != fold))
+        model = fit_regressor(builder, params, folded.where(F.col(FOLD) != fold), stats[fold])
         held_out = model.transform(folded.where(F.col(FOLD) == fold))
         row = held_out.agg(*metric_columns(LABEL, PREDICTION)).first()
         return fold, row[metric] * factor

@@ -99,7 +99,7 @@ def project(spark, tmp_path_factory):
     )
     raw.coalesce(1).write.csv(str(base / "raw.csv"), header=True, nullValue="NA")
     assert ingest.main(["--input", str(base / "raw.csv"), "--output", str(base / "split")]) == 0
-    assert preprocess.main(["--input-dir", str(base / "split"), "--output-dir", str(base / "interim"), "--artifacts-dir", str(base / "prep"), "--winsor-mode", "fitted", "--zero-division", "zero", "--config", _packaged("preprocessing.yaml")]) == 0
+    assert preprocess.main(["--input-dir", str(base / "split"), "--output-dir", str(base / "interim"), "--artifacts-dir", str(base / "prep"), "--config", _packaged("preprocessing.yaml")]) == 0
     config = load_config(_packaged("models.yaml"))
     config["training"].update(data_dir=str(base / "interim"), model_dir=str(base / "models"))
     config["models"]["xgboost"]["params"]["n_estimators"] = 5
