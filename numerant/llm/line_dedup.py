@@ -18,37 +18,84 @@ separate documents; an empty table gives an empty result; other columns are igno
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
-from .common import ROW, WORD, numbered, table, text_of, written
+from .common import ROW, numbered, slices, table, text_of, written
 
 LEAD = 3
 MIN_WORDS = 3
 MIN_DOCS = 3
 CONSTANT = 0.6
 ANY = "<*>"
+HAS_DIGIT = re.compile(rb"[0-9]").search
 
 
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def masked(line: bytes) -> list[bytes]:
+    """The words of a line, those with a digit as variable."""
+    words = line.split()  # at ASCII white space
+    return [b"<*>" if HAS_DIGIT(w) else w for w in words] if HAS_DIGIT(line) else words
+
+
+def leaf_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """n, lead, m: how many lines each leaf has; added up in each task first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            keys = list(counts)
+            made = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1].decode() for k in keys], pa.string()), pa.array(counts.values(), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(made, names=["n", "lead", "m"])
+
+        for batch in batches:
+            for t in batch.column(0):
+                for line in t.as_py().encode().split(b"\n"):
+                    words = masked(line)
+                    if len(words) >= MIN_WORDS:
+                        counts[len(words), b" ".join(words[:LEAD])] += 1
+                if len(counts) > 200_000:
+                    yield flushed()
+        yield flushed()
+
+    return docs.select(text_of(text)).mapInArrow(count, "n int, lead string, m long").groupBy("n", "lead").agg(F.sum("m").alias("m"))
+
+
 def parsed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, key, line (its number), words (variable ones masked), n, lead: the way of each line down the tree."""
-    each = numbered(docs.select(key, text)).select(
-        F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), F.posexplode(lines_of(text_of(text))).alias("line", "text")
-    )
-    words = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.when(w.rlike("[0-9]"), ANY).otherwise(w))
-    each = each.select("row", "key", "line", words.alias("words")).withColumn("n", F.size("words"))
-    return each.where(F.col("n") >= MIN_WORDS).withColumn("lead", F.slice("words", 1, LEAD))
+    """row, key, line (its number), n, lead, masked (its words): the way of each line down the tree."""
+    slim = numbered(docs.select(key, text)).select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "key", "line", "n", "lead", "masked"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = []
+                for row, key_, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                    for i, line in enumerate(t.as_py().encode().split(b"\n")):
+                        words = masked(line)
+                        if len(words) >= MIN_WORDS:
+                            rows.append((row, key_, i, len(words), b" ".join(words[:LEAD]).decode(), b" ".join(words).decode()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
+    return slim.mapInArrow(parse, "row long, key long, line int, n int, lead string, masked string")
 
 
 def templates(busy: DataFrame, min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
-    """mark (of a line's words), template: for the lines of busy leaves, written before."""
-    lines = busy.groupBy("mark").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.count("*").alias("lines"))
-    places = lines.select("mark", "n", F.slice("words", 1, LEAD).alias("lead"), "lines", F.posexplode("words").alias("at", "word"))
+    """mark (of a line's masked words), template: for the lines of busy leaves, written before."""
+    lines = busy.groupBy("mark").agg(F.first("masked").alias("masked"), F.first("n").alias("n"), F.first("lead").alias("lead"), F.count("*").alias("lines"))
+    places = lines.select("mark", "n", "lead", "lines", F.posexplode(F.split("masked", " ")).alias("at", "word"))
     common = places.groupBy("n", "lead", "at", "word").agg(F.sum("lines").alias("m")).where(F.col("m") >= min_docs)
     found = places.join(common.withColumn("stays", F.lit(True)), ["n", "lead", "at", "word"], "left")
     stays = F.col("stays").isNotNull() & (F.col("word") != ANY)
@@ -60,11 +107,9 @@ def templates(busy: DataFrame, min_docs: int = MIN_DOCS, constant: float = CONST
 
 def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
     """row, line: the lines to drop."""
-    every = parsed(docs, key, text)
-    leaves = every.groupBy("n", "lead").agg(F.count("*").alias("m")).where(F.col("m") >= min_docs).select("n", "lead")
-    leaves = written(leaves, "line-leaves")
-    busy = every.join(broadcast_if_small(leaves), ["n", "lead"])
-    busy = written(busy.withColumn("mark", F.md5(F.concat_ws(" ", "words"))), "line-busy")
+    leaves = written(leaf_counts(docs, text).where(F.col("m") >= min_docs).select("n", "lead"), "line-leaves")
+    busy = parsed(docs, key, text).join(broadcast_if_small(leaves), ["n", "lead"])
+    busy = written(busy.withColumn("mark", F.md5("masked")), "line-busy")
     of_line = written(templates(busy, min_docs, constant), "line-templates")
     slim = busy.select("row", "key", "line", "mark").join(of_line, "mark").select("row", "key", "line", "template")
     slim = written(slim, "line-marked")
