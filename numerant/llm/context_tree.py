@@ -37,7 +37,7 @@ from .common import ROW, fold, numbered, table, written
 
 DEPTH = 5
 CHUNK_BITS = 13  # rows of a chunk, as a power of two
-SPAN = 512  # chunks merged at a time
+SPAN = 512  # chunks in a span, on average
 SLICE = 2 << 20
 WORD_PARTS = 512  # more for more distinct words: a part is held in memory
 FIRST_WORD_PART = 1 << 16  # parts below are those of grams
@@ -233,15 +233,11 @@ def merged(found: DataFrame, depth: int) -> DataFrame:
         return pa.table([pa.array(v, t) for v, t in zip(values, types)], names=["part", "keys", "n", "total", "positive"])
 
     # Counts of one chunk fit 32 bits, sums get 64; "first" tells merge which it reads.
-    spans = found.withColumns({"span": _span(), "first": F.lit(True)}).select("part", "span", "keys", "n", "first")
+    spans = found.withColumn("first", F.lit(True)).select("part", "span", "keys", "n", "first")
     once = spans.groupBy("part", "span").applyInArrow(merge, _MERGED)
     return once.withColumn("first", F.lit(False)).groupBy("part").applyInArrow(merge, _MERGED)
 
 
-def _span():
-    return F.floor(F.col("chunk") / F.lit(SPAN)).cast("long")
-
-
 def facts(counted: DataFrame, depth: int) -> DataFrame:
     """part, keys, facts: log10 probabilities of the grams of a part (32-bit), or counts of its words (64-bit)."""
     low = 8 * (depth - 1)
@@ -304,7 +300,7 @@ def picked(found: DataFrame, known: DataFrame, depth: int) -> DataFrame:
             out = [np.array([count[w] for w in x.split(b"\n")], "<u8").tobytes() for x in mine]
         return pa.table([rows.column("chunk"), rows.column("part"), rows.column("keys"), pa.array(out, pa.binary())], names=["chunk", "part", "keys", "facts"])
 
-    rows = found.select("chunk", "part", "keys", _span().alias("span"))
+    rows = found.select("chunk", "part", "keys", "span")
     spans = rows.select(F.col("part").alias("_part"), F.col("span").alias("_span")).distinct()
     copies = known.join(spans, F.col("part") == F.col("_part")).drop("_part")
     return rows.groupBy("part", "span").cogroup(copies.groupBy("part", "_span")).applyInArrow(pick, "chunk long, part int, keys binary, facts binary")
@@ -350,6 +346,8 @@ def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: st
         F.col(ROW).alias("row"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"), F.col(key).cast("long").alias("doc_id")
     )
     found = written(seen(rows.select("row", "held_out", "text"), depth), "ctw-seen")
+    spans = -(-found.select("chunk").distinct().count() // SPAN) or 1
+    found = found.withColumn("span", F.pmod(F.xxhash64("chunk"), F.lit(spans)))
     counted = written(merged(found, depth), "ctw-counts")
     sums = counted.where(F.col("part") >= FIRST_WORD_PART).agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("positive"), F.lit(0)).alias("v")).first()
     ends = rows.where("not held_out").count()
