@@ -123,7 +123,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_d
     """key, text without recurring lines, n_lines, n_dropped; every document."""
     gone = dropped(docs, key, text, min_docs, constant).groupBy("row").agg(F.collect_list("line").alias("gone"))
     gone = written(gone, "line-dropped").withColumnRenamed("row", ROW)
-    base = numbered(docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))).join(gone, ROW, "left")
+    base = numbered(docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))).join(gone.hint("shuffle_merge"), ROW, "left")
     kept = F.filter(lines_of(F.col("text")), lambda x, i: ~F.array_contains("gone", i))
     whole = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", kept))
     return base.select(
