@@ -105,7 +105,7 @@ def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    dictionary_bytes: int = 262_144, dictionary_rows: int = 2_000, calibration_rows: int = 2_000,
+    dictionary_bytes: int = 262_144, dictionary_rows: int = 2_000, calibration_rows: int = 1_000,
     longest: int = 20_000, level: int = 3,
 ) -> CompressionClassifier:
     """The classifier of the labelled rows. ``labels`` has the key and the label, 0 or 1."""
