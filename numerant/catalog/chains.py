@@ -9,13 +9,16 @@ from ..functions.columns import quoted
 from ..jobs import evaluate, ingest, preprocess, score, train
 from ..operators.split import assign_folds
 from ..operators.stats import null_counts
+from ..plans.base import column_changes
 from ..plans.models import REGISTRY, as_pipeline, assemble, feature_importance, fit_regressor, predict
+from ..plans.profile import suggested_config
 from ..session import scratch_path
-from ..sources.documents import load_metrics, save_yaml
+from ..sources.documents import load_config, load_metrics, save_yaml
+from ..sources.runs import RunLog
 from ..sources.tables import load_processed_data, load_raw_data, load_split_data, read_table, save_split_data
 from ..streaming.monitor import error_rate, latency_quantiles, throughput
-from .modeling import customers, sql_linear
-from .registry import FEATURES, query, r, rounded, scan, sql_metrics, sql_r, table, union_all
+from .modeling import CUSTOMER_FEATURES, customers, fitted_scorer, search, sql_linear
+from .registry import FEATURES, H_COLUMNS, H_CTE, housing, query, r, rounded, scan, sql_metrics, sql_r, table, union_all
 from .statistics import SPLIT_CTE
 from .streams import _SLIDES, _START, ONCE, _text_start, stream_of
 
@@ -277,3 +280,89 @@ def importance_of_one_split(spark, sf_dir):
     model = fit_regressor(REGISTRY[("sklearn.ensemble", "RandomForestRegressor")], {"n_estimators": 1, "max_depth": 1, "bootstrap": False}, assemble(df, names, "target"))
     return feature_importance(as_pipeline(model, names), spark)
 
+
+
+# --- the models with their default parameters, and the search
+
+_SPLIT_TARGETS = (
+    "c AS (SELECT c_custkey, target, row_number() OVER (ORDER BY c_custkey) - 1 AS place, count(*) OVER () AS n FROM customer JOIN "
+    "(SELECT o_custkey, avg(o_totalprice) AS target FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey), "
+    # contiguous folds, the first n % 5 of which hold one row more; the last one is the test part
+    "t AS (SELECT target, place >= n - n // 5 AS test FROM c)"
+)
+_BEATS_MEAN = f"WITH {_SPLIT_TARGETS} SELECT count(*) AS \"rows\", {sql_r('stddev_pop(target)', 4)} AS mean_rmse, true AS beats_mean FROM t WHERE NOT test"
+
+
+def _against_mean(spark, sf_dir, module: str, name: str) -> DataFrame:
+    """Train with default parameters on four folds of customers; is the error there below that of the mean?"""
+    rows = assign_folds(customers(spark, sf_dir), "c_custkey", 5).where("fold < 4")
+    model = as_pipeline(fit_regressor(REGISTRY[(module, name)], {}, assemble(rows, CUSTOMER_FEATURES, "target")), CUSTOMER_FEATURES)
+    error = F.sqrt(F.avg((F.col("target") - F.col("prediction")) ** 2))
+    found = predict(model, rows).agg(F.count("*").alias("rows"), F.stddev_pop("target").alias("m"), error.alias("e"))
+    return found.select("rows", r("m", 4).alias("mean_rmse"), (F.col("e") < F.col("m")).alias("beats_mean"))
+
+
+@query("ml2_forest_defaults", _BEATS_MEAN)
+def forest_defaults(spark, sf_dir):
+    """100 trees, as deep as they grow."""
+    return _against_mean(spark, sf_dir, "sklearn.ensemble", "RandomForestRegressor")
+
+
+@query("ml3_boosting_defaults", _BEATS_MEAN)
+def boosting_defaults(spark, sf_dir):
+    """100 rounds of depth 6."""
+    return _against_mean(spark, sf_dir, "xgboost", "XGBRegressor")
+
+
+@query(
+    "ml9_ml10_search_checked",
+    f"WITH {_SPLIT_TARGETS} SELECT 2 AS trials, true AS best_is_least, {sql_r('sqrt(avg((target - (SELECT avg(target) FROM t WHERE NOT test)) ^ 2) FILTER (test))', 4)} AS mean_rmse, true AS beats_mean FROM t",
+)
+def search_checked(spark, sf_dir):
+    """The search names the trial of least error, and its refit beats the mean."""
+    found = {x["name"]: x["value"] for x in search(spark, sf_dir).collect()}
+    trials = {n: v for n, v in found.items() if n.startswith("trial_")}
+    parts = assign_folds(customers(spark, sf_dir), "c_custkey", 5)
+    mean = parts.where("fold < 4").agg(F.avg("target")).first()[0]
+    m = parts.where("fold = 4").agg(F.sqrt(F.avg((F.col("target") - F.lit(mean)) ** 2)).alias("m"))
+    least = min(trials.values()) == found["best_cv_rmse"]
+    return m.select(F.lit(len(trials)).alias("trials"), F.lit(least).alias("best_is_least"), r("m", 4).alias("mean_rmse"), (F.lit(found["test_rmse"]) < F.col("m")).alias("beats_mean"))
+
+
+# --- small sinks and rules
+
+@query("snk9_src5_profile_config", f"WITH {H_CTE} " + union_all([f"SELECT '{c}' AS \"column\", count(*) = count({c}) AS no_action FROM h" for c in H_COLUMNS]))
+def profile_config(spark, sf_dir):
+    """The suggested configuration, written as YAML and loaded again."""
+    path = f"{scratch_path(spark, 'profile')}/suggested.yaml"
+    save_yaml(path, suggested_config(housing(spark, sf_dir)), spark)
+    alone = load_config(path, spark)["feature_processing"]["handling_na"]["no_action"]
+    return spark.createDataFrame([(c, c in alone) for c in H_COLUMNS], "column string, no_action boolean")
+
+
+@query("scl16_flt7_runs", "SELECT 'ridge' AS model_name, count(*) FILTER (o_orderkey IS NOT NULL) > 0 AS trained_at_set, 1 AS runs FROM orders")
+def runs_of_a_job(spark, sf_dir):
+    """Disabled, filtered and failing models leave no run; the trained one leaves a row with its time."""
+    runs = RunLog(spark, _run_jobs(spark, sf_dir, "train")["models"]).read()
+    return runs.groupBy("model_name").agg(F.bool_and(F.col("trained_at").isNotNull()).alias("trained_at_set"), F.count("*").cast("int").alias("runs"))
+
+
+@query("set3_column_changes", union_all([f"SELECT '{c}' AS \"column\", 'removed' AS change FROM (SELECT count(*) AS n FROM orders) WHERE n > 0" for c in FEATURES if c != "LSTAT"]))
+def columns_changed(spark, sf_dir):
+    paths = _run_jobs(spark, sf_dir, "preprocess")
+    before, after = (load_split_data(spark, paths["split"], "MEDV")[0], load_processed_data(spark, paths["interim"], "MEDV")[0])
+    removed, added = column_changes(before.columns, after.columns)
+    return spark.createDataFrame([(c, "removed") for c in removed] + [(c, "added") for c in added], "column string, change string")
+
+
+@query("flt5_empty_batch", f"WITH {H_CTE} SELECT count(*) AS scored, true AS refused FROM h WHERE MEDV < -1")
+def empty_batch(spark, sf_dir):
+    """A batch without rows is refused, or scored to a table without rows if that is asked for."""
+    h = housing(spark, sf_dir)
+    scorer, none = fitted_scorer(h), h.where("MEDV < -1")
+    try:
+        scorer.score(none, ["MEDV"])
+        refused = False
+    except ValueError:
+        refused = True
+    return scorer.score(none, ["MEDV"], allow_empty=True).agg(F.count("*").alias("scored")).withColumn("refused", F.lit(refused))

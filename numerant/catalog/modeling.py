@@ -328,7 +328,7 @@ def search(spark, sf_dir):
     with cached(train) as train, cached(test) as test:
         optimizer.optimize(train, 2)
         _, measured = optimizer.train_best_model(train, test)
-    rows = [(f"trial_{t['trial']}", float(t["cv_rmse"])) for t in optimizer.trials] + list(measured.items())
+    rows = [(f"trial_{t['trial']}", float(t["cv_rmse"])) for t in optimizer.trials] + [("best_cv_rmse", optimizer.best_value), *measured.items()]
     return spark.createDataFrame(rows, "name string, value double")
 
 
