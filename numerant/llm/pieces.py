@@ -27,6 +27,7 @@ columns are kept, and columns named like those added here are replaced.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,6 +47,42 @@ MARK = "▁"
 ADDED = ("sample", "ids", "log_probability", "inclusion", "round_trip")
 
 
+class Table:
+    """Values by 64-bit keys: each key has one of two places, and a lookup looks at both."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = np.append(keys, np.uint64(0)), np.append(values, -2)
+        for bits in range(12, 26):
+            self.bits = bits
+            self.one, self.two = np.full((2, 1 << bits), len(keys), np.int32)
+            spread_ = mixed(keys)
+            rest = self._put(self.one, self._first(spread_), np.arange(len(keys)))
+            if not len(self._put(self.two, self._second(spread_[rest]), rest)):
+                return
+        raise ValueError("keys are not distinct")
+
+    def _first(self, spread_: np.ndarray) -> np.ndarray:
+        return spread_ >> np.uint64(64 - self.bits)
+
+    def _second(self, spread_: np.ndarray) -> np.ndarray:
+        return spread_ & np.uint64((1 << self.bits) - 1)
+
+    @staticmethod
+    def _put(table: np.ndarray, places: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """The numbers that found no free place."""
+        table[places] = numbers
+        return numbers[table[places] != numbers]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are there, by their place in ``keys``, and their values."""
+        spread_ = mixed(keys)
+        at = self.one[self._first(spread_)]
+        missed = np.flatnonzero(self.keys[at] != keys)
+        at[missed] = self.two[self._second(spread_[missed])]
+        here = np.flatnonzero(self.keys[at] == keys)
+        return here, self.values[at[here]]
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces with log-probabilities, and the ids of the byte pieces."""
@@ -56,8 +93,8 @@ class Vocabulary:
     ordinary: np.ndarray  # whether a piece may match text
 
     @cached_property
-    def prefixes(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each length the sorted hashes of all beginnings of pieces, and the piece's id or -1."""
+    def prefixes(self) -> list[Table]:
+        """For each length all beginnings of pieces by their hashes, with the piece's id or -1."""
         by_length: list[dict[int, int]] = []
         for i, p in enumerate(self.pieces):
             if not self.ordinary[i]:
@@ -68,11 +105,7 @@ class Vocabulary:
                 if n == len(by_length):
                     by_length.append({})
                 by_length[n][h] = i if n + 1 == len(p) else by_length[n].get(h, -1)
-        out = []
-        for d in by_length:
-            keys = np.array(sorted(d), np.uint64)
-            out.append((keys, np.array([d[int(k)] for k in keys], np.int64)))
-        return out
+        return [Table(np.array(list(d), np.uint64), np.array(list(d.values()), np.int64)) for d in by_length]
 
     @cached_property
     def raw(self) -> list[bytes]:
@@ -81,6 +114,19 @@ class Vocabulary:
         out[self.bytes_at : self.bytes_at + 256] = [bytes([b]) for b in range(256)]
         return out
 
+    @cached_property
+    def table(self) -> pa.Array:
+        return pa.array(self.raw, pa.binary())
+
+    def decode_all(self, ids: np.ndarray, sizes: list[int]) -> list[bytes]:
+        """The UTF-8 of several texts, whose ids follow each other."""
+        found = self.table.take(pa.array(ids))
+        if not len(found):
+            return [b""] * len(sizes)
+        data, ends = found.buffers()[2].to_pybytes(), np.frombuffer(found.buffers()[1], np.int32)
+        cuts = ends[np.cumsum([0, *sizes])]
+        return [data[i + 1 : j] for i, j in zip(cuts[:-1], cuts[1:])]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids))[1:].decode()
 
@@ -120,8 +166,11 @@ def cut_off(value, most):
 
 def words_of(text: str) -> list[str]:
     """The text's words with their marks: no piece spans two of them."""
-    marked = MARK + text.replace(" ", MARK) if text else ""
-    return re.findall("\n|▁+[^▁\n]*|[^▁\n]+", marked)
+    if not text:
+        return []
+    if "  " in text or MARK in text:
+        return re.findall("\n|▁+[^▁\n]*|[^▁\n]+", MARK + text.replace(" ", MARK))
+    return [w for w in (MARK + text.replace("\n", " \n ").replace(" ", " ▁").replace(" ▁\n ▁", " \n ")).split(" ") if w]
 
 
 class Lattice:
@@ -136,51 +185,57 @@ class Lattice:
         ends = np.repeat(self.end, sizes + 1)  # of the word of each node
         at = np.flatnonzero(np.arange(n) < ends)
         h = np.zeros(len(at), np.uint64)
-        froms, tos, ids = [], [], []
+        tos, ids = [], []
         covered = np.zeros(n, bool)
-        for length, (keys, piece) in enumerate(vocab.prefixes, 1):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[at + length - 1] + np.uint64(1)
-            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            here = keys[place] == h
-            hit = here & (piece[place] >= 0)
-            froms.append(at[hit])
-            tos.append(at[hit] + length)
-            ids.append(piece[place[hit]])
+        count = np.zeros(n + 1, np.int32)
+        for length, known in enumerate(vocab.prefixes, 1):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[at + (length - 1)] + np.uint64(1)
+            here, found = known.find(h)
+            at, h = at[here], h[here]
+            hit = found >= 0
+            tos.append((length, at[hit]))
+            ids.append(found[hit])
+            count[tos[-1][1]] += 1  # a node has one edge of each length at most
             if length == 1:
-                covered[at[hit]] = True
-            go = here & (at + length < ends[at])
+                covered[tos[-1][1]] = True
+            go = at + length < ends[at]
             at, h = at[go], h[go]
         missing = np.flatnonzero(~covered & (np.arange(n) < ends))
-        froms.append(missing)
-        tos.append(missing + 1)
+        count[missing] += 1
         single = codes[missing] < 0x80  # one byte, or, as a negative number, a character of several
+        tos.append((1, missing))
         ids.append(np.where(single, codes[missing].astype(np.int64) + vocab.bytes_at, -codes[missing].astype(np.int64)))
+        self.first = np.cumsum(count) - count  # edges of node i: first[i] to first[i + 1]
+        edges = int(count.sum())
+        self.to, self.id, self.node = (np.empty(edges, np.int32) for _ in range(3))
+        logs = np.empty(edges)
+        fill = self.first.copy()
+        for (length, at), found in zip(tos, ids):
+            e = fill[at]
+            fill[at] += 1
+            self.to[e], self.id[e], self.node[e] = at + length, found, at
+            logs[e] = vocab.logs[np.maximum(found, 0)]
+        e = fill[missing] - 1
         size = 1 + (codes[missing] > 0x7F).astype(int) + (codes[missing] > 0x7FF) + (codes[missing] > 0xFFFF)
-        logs = np.concatenate([vocab.logs[np.concatenate(ids[:-1])], size * vocab.logs[vocab.bytes_at]])
-        froms, tos, ids = map(np.concatenate, (froms, tos, ids))
-        order = np.argsort(froms, kind="stable")
-        froms, self.to, self.id, logs = froms[order], tos[order], ids[order], logs[order]
-        self.first = np.searchsorted(froms, np.arange(n + 1))  # edges of node i: first[i] to first[i + 1]
+        logs[e] = size * vocab.logs[vocab.bytes_at]
         beta = np.zeros(n)  # log of the sum over all ways to the word's end
         left = ends - np.arange(n)
-        nodes = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[nodes], np.arange(1, int(left.max(initial=0)) + 2))
+        longest = int(left.max(initial=0))
+        nodes = np.argsort(left.astype(np.uint16) if longest < 1 << 16 else left, kind="stable")
+        bounds = np.cumsum(np.bincount(left, minlength=longest + 1)) if n else np.zeros(1, np.int64)
         for i, j in zip(bounds[:-1], bounds[1:]):
             these = nodes[i:j]
-            counts = self.first[these + 1] - self.first[these]
+            counts = count[these]
             e, offsets = spread(self.first[these], counts)
             x = logs[e] + beta[self.to[e]]
             top = np.maximum.reduceat(x, offsets)
             beta[these] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, counts)), offsets))
         # Of taking the edge, at its node: they sum to one. Rounded, so that a batch's layout leaves no trace.
-        self.log = np.round(logs + beta[self.to] - beta[froms], 12)
-        share = np.exp(self.log)
-        run = np.cumsum(share)
-        base = np.concatenate([[0.0], run])[self.first[froms]]
-        self.upto = run - base  # probability of this edge or an earlier one of its node
-        self.upto[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0
-        self.single = (self.first[froms + 1] - self.first[froms]) == 1
-        self.node = froms
+        self.log = np.round(logs + beta[self.to] - beta[self.node], 12)
+        run = np.cumsum(np.exp(self.log))
+        self.upto = run - np.concatenate([[0.0], run])[self.first[self.node]]  # this edge or an earlier one of its node
+        self.upto[self.first[1:][count[:-1] > 0] - 1] = 2.0
+        self.single = count[self.node] == 1
 
 
 def spread(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,22 +257,21 @@ class Branch:
     salt: int
 
 
-def _left(lattice: Lattice, taken: list[int]) -> np.ndarray:
-    node = lattice.node[taken[0]]
-    return np.setdiff1d(np.arange(lattice.first[node], lattice.first[node + 1]), taken)
-
-
 def _branch_off(b: Branch, lattice: Lattice) -> tuple[int, Branch | None]:
     """The edge that has the branch's priority, and the branch of what is left then."""
-    edges = _left(lattice, b.taken)
-    share = np.cumsum(np.exp(lattice.log[edges]))
-    draws = uniform(mixed(np.array([b.salt, b.salt ^ 1], np.uint64)) + np.uint64(len(b.taken)))
-    edge = int(edges[min(np.searchsorted(share, draws[0] * share[-1]), len(edges) - 1)])
+    node = int(lattice.node[b.taken[0]])
+    edges = [e for e in range(int(lattice.first[node]), int(lattice.first[node + 1])) if e not in b.taken]
+    share = [math.exp(lattice.log[e]) for e in edges]
+    draws = uniform(mixed(np.array([b.salt, b.salt ^ 1], np.uint64)) + np.uint64(len(b.taken))).tolist()
+    most, at = draws[0] * sum(share), 0
+    while at + 1 < len(edges) and most > share[at]:
+        most -= share[at]
+        at += 1
     if len(edges) == 1:
-        return edge, None
-    rest = np.logaddexp.reduce(lattice.log[edges[edges != edge]]) + b.before
-    value = float(cut_off(rest - np.log(-np.log(draws[1])), b.priority))
-    return edge, Branch(value, b.path, b.kept, b.word, [*b.taken, edge], b.before, b.salt)
+        return edges[at], None
+    rest = math.log(max(sum(share) - share[at], 1e-300)) + b.before
+    value = float(cut_off(rest - math.log(-math.log(draws[1])), b.priority))
+    return edges[at], Branch(value, b.path, b.kept, b.word, [*b.taken, edges[at]], b.before, b.salt)
 
 
 def sample(texts: list[list[int]], keys: np.ndarray, lattice: Lattice, k: int) -> list[list[tuple[np.ndarray, float, float]]]:
@@ -346,21 +400,26 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: i
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 2 << 20):
+            for part in slices(batch, "_text", 1 << 20):
                 texts = part.column(part.schema.get_field_index("_text")).to_pylist()
                 known: dict[str, int] = {}
                 numbers = [[known.setdefault(w, len(known)) for w in words_of(t)] for t in texts]
                 lattice = Lattice(list(known), vocab)
                 keys = part.column(part.schema.get_field_index("_key")).to_numpy(zero_copy_only=False)
-                rows, values = [], []
+                rows, values, ids = [], [], []
                 for i, found in enumerate(sample(numbers, keys, lattice, samples)):
                     for j, (edges, log, chance) in enumerate(found):
-                        ids = edge_ids(edges, lattice, vocab)
                         rows.append(i)
-                        values.append((j, ids.astype(np.int32), round(log, 6), float(f"{chance:.6g}"), vocab.decode(ids.tolist()) == texts[i]))
+                        ids.append(edge_ids(edges, lattice, vocab).astype(np.int32))
+                        values.append((j, round(log, 6), float(f"{chance:.6g}")))
+                sizes = [len(x) for x in ids]
+                flat = np.concatenate(ids)
+                raw = [t.encode() for t in texts]
+                same = [d == raw[i] for i, d in zip(rows, vocab.decode_all(flat, sizes))]
                 kept = part.select([f.name for f in fields]).take(pa.array(rows, pa.int64()))
-                types = [pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.bool_()]
-                added = [pa.array([v[c] for v in values], t) for c, t in enumerate(types)]
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat))
+                numbers_ = [pa.array([v[c] for v in values], t) for c, t in enumerate((pa.int32(), pa.float64(), pa.float64()))]
+                added = [numbers_[0], lists, *numbers_[1:], pa.array(same)]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *added], names=[*kept.schema.names, *ADDED])
 
     mark = F.xxhash64(F.lit(seed), F.col(key).cast("string"))
