@@ -17,6 +17,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--output-dir", default="artifacts/evaluation")
     p.add_argument("--target-column", default="MEDV")
     p.add_argument("--include-train", action="store_true")
+    p.add_argument("--points", type=float, default=1.0, help="share of the test rows written as chart points")
     return p.parse_args(argv)
 
 
@@ -31,7 +32,7 @@ def evaluate(spark, args) -> None:
     evaluator = ModelEvaluator(spark, args.model, target=args.target_column)
     metrics = evaluator.evaluate(test, train)
     log.info("metrics: %s", metrics)
-    evaluator.generate_report(args.output_dir)
+    evaluator.generate_report(args.output_dir, args.points)
 
 
 def main(argv=None) -> int:

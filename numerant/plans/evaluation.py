@@ -106,15 +106,19 @@ class ModelEvaluator:
             return None
         return self.metrics_["train_rmse"] - self.metrics_["test_rmse"] < -1.0
 
-    def chart_data(self, bins: int = 30) -> dict[str, DataFrame]:
-        """The tables behind the charts of the test rows."""
+    def chart_data(self, bins: int = 30, points: float = 1.0) -> dict[str, DataFrame]:
+        """The tables behind the charts of the test rows.
+
+        ``points``: the share of rows drawn as points, the same ones each time; histograms, means and summary are of all rows.
+        """
         if self.points_ is None:
             raise ValueError("evaluate first")
+        drawn = sample_points(self.points_, points)
         errors, means = error_distribution(self.points_, bins)
         charts = {
-            "residuals_test": self.points_.select("predicted", "residual"),
+            "residuals_test": drawn.select("predicted", "residual"),
             "residual_histogram_test": residual_histogram(self.points_, bins),
-            "predictions_test": self.points_.select("actual", "predicted"),
+            "predictions_test": drawn.select("actual", "predicted"),
             "prediction_summary_test": prediction_summary(self.points_),
             "errors_test": errors,
             "error_means_test": means,
@@ -124,11 +128,11 @@ class ModelEvaluator:
             charts["feature_importance"] = importance
         return charts
 
-    def generate_report(self, folder: str) -> str:
-        """Metrics as JSON, chart tables as Parquet; returns the path of the JSON."""
+    def generate_report(self, folder: str, points: float = 1.0) -> str:
+        """Metrics as JSON, chart tables as Parquet (points: see ``chart_data``); returns the path of the JSON."""
         base = f"{folder.rstrip('/')}/{self.model_name}"
         save_metrics(f"{base}_metrics.json", self.metrics_, self.spark)
         with cached(self.points_):
-            for name, table in self.chart_data().items():
+            for name, table in self.chart_data(points=points).items():
                 table.write.mode("overwrite").parquet(f"{base}_{name}")
         return f"{base}_metrics.json"

@@ -12,30 +12,41 @@ import yaml
 from pyspark.sql import SparkSession
 
 
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return path.removeprefix("file://").removeprefix("file:")
-    return None if "://" in path else path
+def _file(spark: SparkSession, path: str):
+    """A path and its file system: for paths without a scheme the default one, as for tables and models."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def read_text(spark: SparkSession | None, path: str) -> str:
-    """A small text file, local or on a file system Spark knows."""
-    local = _local(path)
-    if local is not None:
-        with open(local, encoding="utf-8") as f:
+    """A small text file on any file system Spark knows; without a session, on the local disk."""
+    if spark is None:
+        with open(path.removeprefix("file://"), encoding="utf-8") as f:
             return f.read()
-    return spark.read.text(path, wholetext=True).first()[0]
+    target, fs = _file(spark, path)
+    if not fs.exists(target):
+        raise FileNotFoundError(f"no file {path}")
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession | None, path: str, text: str) -> None:
-    """Write a small text: a file on a local path, else a one-part folder through Spark."""
-    local = _local(path)
-    if local is not None:
-        os.makedirs(os.path.dirname(os.path.abspath(local)), exist_ok=True)
-        with open(local, "w", encoding="utf-8") as f:
+    """Write a small text file; folders on the way are made."""
+    if spark is None:
+        path = path.removeprefix("file://")
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        with open(path, "w", encoding="utf-8") as f:
             f.write(text)
         return
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    target, fs = _file(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def native(value: Any) -> Any:
@@ -50,9 +61,9 @@ def native(value: Any) -> Any:
 
 
 def load_config(path: str, spark: SparkSession | None = None) -> dict:
-    """A YAML file as a dict; a missing file is an error."""
+    """A YAML file as a dict; a missing file is an error. One that lies beside the driver comes first."""
     try:
-        return yaml.safe_load(read_text(spark, path)) or {}
+        return yaml.safe_load(read_text(None if os.path.exists(path) else spark, path)) or {}
     except FileNotFoundError:
         raise
     except yaml.YAMLError as e:
