@@ -18,7 +18,21 @@ ROW = "_row_number"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return settled(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def settled(spark: SparkSession) -> SparkSession:
+    """The session with what the operators rely on, where it has not been set.
+
+    Whole texts go to Python, so a batch has 2,000 of them instead of 10,000. How files are split, and with
+    it the numbers of ``numbered``, must not follow the executors that are there at the moment: their number at the
+    first use is kept.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def fold(key: Column, folds: int = 5) -> Column:
@@ -42,8 +56,9 @@ def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a number for each row, which tells apart rows with the same or no key.
 
     ``docs`` has to be a scan (a table or files): it gives the same rows in the same partitions each
-    time it is read, so the number is the same as well.
+    time it is read (see ``settled``), so the number is the same as well.
     """
+    settled(docs.sparkSession)
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, table, text_of
+from .common import settled, slices, table, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -450,4 +450,5 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' keys and sources with the ids of two distinct segmentations each."""
+    settled(spark)
     return encoded(docs.select("doc_id", "lang", "source", "text")).drop("text")
