@@ -211,6 +211,7 @@ def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     found = spark.createDataFrame([], "a long, b long")
     while True:
         leaders = open_.groupBy("bucket").agg(F.min(F.struct("rank", "node"))["node"].alias("leader"))
+        leaders = written(leaders, "near-leaders")  # both sides are exchanged then, so a full bucket can be split
         led = written(open_.join(leaders, "bucket").where("node != leader"), "near-led")
         pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         pairs = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
