@@ -116,6 +116,7 @@ def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     once = slim.groupBy("template", "row").agg(F.first("key").alias("key"))
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"].alias("first_row")
     recurring = once.groupBy("template").agg(F.count("*").alias("docs"), first).where(F.col("docs") >= min_docs)
+    recurring = written(recurring.select("template", "first_row"), "line-recurring")  # both sides are exchanged then, so a frequent template's lines can be split
     return slim.join(recurring, "template").where("row != first_row").select("row", "line")
 
 
