@@ -13,9 +13,10 @@ sketch is under 1e-6.
 
 ``classes``: texts with the same words are one node from the start. In a bucket (nodes with a common
 sketch) each node is compared with the leader, the node that shares most buckets, as a copied original
-does. Nodes unlike their leader are compared among themselves: in one task if the rest of the bucket
-is at most ``REST`` nodes with ``REST_WORDS`` words, else by another leader. So a bucket of n near copies costs n comparisons, and
-pairs are never listed. Verified links make components by alternating large and small stars.
+does; nodes unlike it get another leader while they are more than ``REST`` nodes or ``REST_WORDS`` words. So a bucket of n
+near copies costs n comparisons. Verified links make components by alternating large and small stars.
+Then ``crossed`` compares all nodes of a bucket that are not in one component yet, in blocks of that size, until a link joins
+their components: no verified link between nodes of a bucket is left out, and pairs are never listed.
 
 Defined results: a text with fewer than five words has one shingle of all its words; texts without a
 word, null ones too, have the same (no) words and are one class; a class is named by its smallest key,
@@ -178,33 +179,84 @@ def shared_counts(labels: list[np.ndarray], block: int = 4096) -> np.ndarray:
     return out
 
 
-def _among(key: tuple, nodes: pa.Table) -> pa.Table:
-    """Links inside the rest of a bucket: each node with the leaders so far; without one it is a leader."""
+def _joining(key: tuple, nodes: pa.Table) -> pa.Table:
+    """Links between components (root) of a group; with nodes of both sides only links from one side to the other."""
     order = np.argsort(nodes.column("node").to_numpy())
-    ids = nodes.column("node").to_numpy()[order].tolist()
-    words = nodes.column("words").to_pylist()
-    each = [shingles(np.array(words[i], np.int64)) for i in order]
+    ids = nodes.column("node").to_numpy()[order]
+    sides = nodes.column("side").to_numpy()[order]
+    words = nodes.column("words").combine_chunks()
+    flat, ends = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
+    each = [shingles(flat[ends[i] : ends[i + 1]]) for i in order.tolist()]
+    _, parent = np.unique(nodes.column("root").to_numpy()[order], return_inverse=True)
+    open_ = np.triu(parent[:, None] != parent[None, :], 1)
+    if sides.min() != sides.max():
+        open_ &= sides[:, None] != sides[None, :]
     sizes = np.array([len(x) for x in each])
     need = np.ceil(SIMILARITY * (sizes[:, None] + sizes[None, :]) / (1 + SIMILARITY) - 1e-9)
-    enough = shared_counts([labelled(x) for x in each]) >= need  # fewer in common cannot be aligned
-    leaders: list[int] = []
+    shared = shared_counts([labelled(x) for x in each])
+    one, other = np.nonzero(open_ & (shared >= need))  # fewer in common cannot be aligned
+    likely = np.argsort(-shared[one, other] / need[one, other], kind="stable")
     links = []
-    for i in range(len(ids)):
-        near = [j for j in leaders if enough[j, i] and aligned(each[j], each[i])]
-        links += [(ids[j], ids[i]) for j in near]
-        if not near:
-            leaders.append(i)
+    for i, j in zip(one[likely].tolist(), other[likely].tolist()):
+        if parent[i] != parent[j] and aligned(each[i], each[j]):
+            links.append((ids[i], ids[j]))
+            parent[parent == parent[j]] = parent[i]
     return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
+def crossed(open_: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
+    """a, b: links that join components of nodes with a common bucket.
+
+    ``open_``: bucket, node; ``roots``: node, root, where linked; ``words``: node, words; all written. The largest
+    component of a bucket is dealt to blocks, its other nodes too; each block of other nodes meets every
+    block of the bucket, so the largest component is sent as often as there are blocks of others.
+    """
+    rooted = open_.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    rooted = rooted.join(words.select("node", F.size("words").cast("long").alias("size")), "node")
+    rooted = written(rooted, "near-rooted")
+    mark = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(20,0)")).alias(f"mark{i}") for i in (0, 1)]
+    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"), *mark)
+    most = F.max(F.struct("n", "size", "root"))
+    buckets = parts.groupBy("bucket").agg(
+        F.count("*").alias("roots"), most.alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.sum("mark0").alias("mark0"), F.sum("mark1").alias("mark1"),
+    ).where("roots > 1 and n > 2")  # two nodes have been compared
+    # Buckets of the same nodes are compared once.
+    buckets = buckets.groupBy("n", "mark0", "mark1").agg(F.min(F.struct("bucket", "main", "size")).alias("b")).select("n", "b.*")
+    blocks = lambda n, size: F.ceil(F.greatest(n / F.lit(max(1, REST // 2)), size / F.lit(max(1, REST_WORDS // 2))))
+    whole = (F.col("n") <= REST) & (F.col("size") <= REST_WORDS)
+    buckets = buckets.select(
+        "bucket", F.col("main.root").alias("main"), whole.alias("whole"), blocks(F.col("main.n"), F.col("main.size")).alias("mains"),
+        blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("others"),
+    )
+    buckets = written(buckets, "near-crossing")
+    met = rooted.drop("size").join(buckets, "bucket")
+    is_main = F.col("root") == F.col("main")
+    mine = F.pmod(F.xxhash64("node", F.lit("block")), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    group = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), side.cast("int").alias("side"))
+    me, zero = F.col("mine"), F.lit(0)
+    groups = (
+        F.when(F.col("whole"), F.array(group(0, zero, zero, zero)))
+        .when(is_main, F.transform(upto(F.col("others")), lambda j: group(1, me, j, zero)))
+        .otherwise(F.concat(
+            F.transform(upto(F.col("mains")), lambda i: group(1, i, me, F.lit(1))),
+            F.transform(upto(F.col("others")), lambda j: group(2, F.least(me, j), F.greatest(me, j), me > j)),
+        ))
+    )
+    met = met.withColumn("mine", mine).select("bucket", "node", "root", F.explode(groups).alias("g")).select("bucket", "node", "root", "g.*")
+    met = met.join(words, "node")
+    return written(met.groupBy("bucket", "kind", "i", "j").applyInArrow(_joining, "a long, b long"), "near-crossed").distinct()
+
+
 def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """a, b: verified links. ``nodes``: node (a row of ``docs``) and sketches, written."""
+    """a, b: the components of these are those of all verified links. ``nodes``: node (a row of ``docs``) and sketches, written."""
     spark = nodes.sparkSession
     kept = nodes.select("node", F.posexplode("sketches").alias("band", "sketch")).select("node", F.xxhash64("band", "sketch").alias("bucket"))
     full = kept.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     open_ = written(kept.join(full, "bucket"), "near-buckets")
     central = open_.groupBy("node").agg((-F.sum("n")).alias("rank"))
-    open_ = written(open_.join(central, "node").select("bucket", "node", "rank"), "near-open")
+    all_ = open_ = written(open_.join(central, "node").select("bucket", "node", "rank"), "near-open")
     involved = open_.select(F.col("node").alias(ROW)).distinct()
     words = numbered(docs.select(text)).join(broadcast_if_small(involved), ROW, "left_semi")
     words = written(words.select(F.col(ROW).alias("node"), word_hashes(text_of(text)).alias("words")), "near-words")
@@ -222,13 +274,13 @@ def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
         rest = led.join(unlike, ["leader", "node"]).select("bucket", "node", "rank")
         left = rest.join(words.select("node", F.size("words").alias("size")), "node")
         left = left.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size")).where("n > 1")
-        rest = written(rest.join(left, "bucket"), "near-rest")
-        fits = (F.col("n") <= REST) & (F.col("size") <= REST_WORDS)
-        small = rest.where(fits).select("bucket", "node").join(words, "node")
-        found = found.union(written(small.groupBy("bucket").applyInArrow(_among, "a long, b long"), "near-among"))
-        open_ = rest.where(~fits).select("bucket", "node", "rank")
+        left = left.where((F.col("n") > REST) | (F.col("size") > REST_WORDS))
+        open_ = written(rest.join(left, "bucket").select("bucket", "node", "rank"), "near-rest")
         if open_.isEmpty():
-            return written(found.distinct(), "near-links")
+            break
+    roots = written(components(written(found.distinct(), "near-found")), "near-linked")
+    stars = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return written(stars.union(crossed(all_, roots, words)), "near-links")
 
 
 def components(edges: DataFrame) -> DataFrame:

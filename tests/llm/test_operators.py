@@ -247,6 +247,31 @@ def test_near_classes_are_those_of_brute_force(spark, tmp_path, monkeypatch, res
     assert collections.Counter(r.class_id for r in found) == {r.class_id: r.class_size for r in found}
 
 
+@pytest.mark.parametrize("rest", [1024, 6])
+def test_near_chains_inside_full_buckets(spark, tmp_path, monkeypatch, rest):
+    """C is like B alone, and B is like A, which leads the buckets that B and C share."""
+    monkeypatch.setattr(near_dedup, "REST", rest)
+    rng = np.random.default_rng(11)
+    rows, chains = [], []
+    word = lambda: f"w{rng.integers(1 << 40)}"
+    for n in range(0, 2000, 10):
+        a = [word() for _ in range(100)]
+        at = rng.permutation(100)
+        b, c = list(a), []
+        b[at[0]] = word()
+        c = list(b)
+        c[at[1]], c[at[2]] = word(), word()
+        rows += [(n, " ".join(a)), (n + 1, " ".join(b)), (n + 2, " ".join(c))]
+        if brute_similarity(b, c) >= 0.8 > brute_similarity(a, c):
+            chains.append(n)
+        if n < 40:  # a hot group: copies of A with their last word changed
+            rows += [(n + 3 + 10_000 * k, " ".join(a[:-1] + [word()])) for k in range(1, 30)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(1).sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "d"))
+    by = {r.key: r.class_id for r in near_dedup.classes(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert len(chains) > 20 and [n for n in chains if not by[n] == by[n + 1] == by[n + 2] == n] == []
+    assert all(by[k] == (k - 3) % 10_000 for k in by if k >= 10_000)
+
+
 def test_near_classes_of_documents(documents):
     docs = {k: t for k, t in texts_of(documents).items() if len(t) < 4000}
     found = near_dedup.classes(documents).collect()
