@@ -1,9 +1,10 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
 ``fit`` trains one dictionary from texts labelled good and one from texts labelled bad. A text is
-compressed with both; the difference of the sizes per byte, ``(bad - good + PSEUDO * mean) / (bytes +
-PSEUDO)``, is positive if the good dictionary serves it better. The PSEUDO bytes of an average text keep
-very short texts near the average. A logistic curve through labelled rows that no dictionary has seen,
+compressed with both, in equal blocks of at most ``BLOCK`` bytes that each start from the dictionary alone; the
+difference of the sizes of all blocks per byte, ``(bad - good + PSEUDO * mean) / (bytes + PSEUDO)``, is positive if the good
+dictionary serves it better. In one frame a long text would match itself, and its difference would tend to 0 with its length.
+The PSEUDO bytes of an average text keep very short texts near the average. A logistic curve through labelled rows that no dictionary has seen,
 weighted back to the labels' true shares, turns the difference into the probability of label 1.
 
 Bounds of the fit (parameters): ``dictionary_rows`` rows per class for the dictionaries and
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import ROW, fold, numbered, table, text_of
 
 PSEUDO = 48
+BLOCK = 16_384
 
 
 @dataclass(frozen=True)
@@ -64,7 +66,9 @@ def differences(docs: DataFrame, good: bytes, bad: bytes, level: int, mean: floa
             values = []
             for t in batch.column(at):
                 raw = (t.as_py() or "").encode()
-                gap = len(second.compress(raw)) - len(first.compress(raw)) if raw else 0
+                size = -(-len(raw) // max(1, -(-len(raw) // BLOCK)))
+                blocks = [raw[i : i + size] for i in range(0, len(raw), size)] if raw else []
+                gap = sum(len(second.compress(b)) - len(first.compress(b)) for b in blocks)
                 values.append((gap + PSEUDO * mean) / (len(raw) + PSEUDO))
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(

@@ -408,6 +408,20 @@ def test_classifier_on_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_long_texts_score_like_their_parts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where(quality_classifier.fold(F.col("doc_id")) == 0)
+    model = quality_classifier._trained(docs, spark, "/root/testdata/sf0.1")
+    rows = docs.join(labels, "doc_id").orderBy("doc_id").collect()
+    for label in (0, 1):
+        parts = [r.text for r in rows if r.quality == label and r.text]
+        joined = "\n".join(parts)
+        long = joined * -(-4_000_000 // len(joined))
+        texts = spark.createDataFrame([(0, long)] + [(1, t) for t in parts], "is_part int, text string")
+        found = {r.is_part: r.score for r in quality_classifier.score(texts, model).groupBy("is_part").agg(F.avg("score").alias("score")).collect()}
+        assert found[0] >= found[1] - 0.05 if label else found[0] <= found[1] + 0.05
+
+
 def test_classifier_on_awkward_rows(spark, awkward, empty):
     labels = spark.createDataFrame([(i, int(i < 7)) for i in range(1, 15)] + [(1, 0), (99, 1), (2, None)], "doc_id bigint, quality int")
     model = quality_classifier.fit(awkward, labels)
