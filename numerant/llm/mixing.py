@@ -12,6 +12,11 @@ source's slots says which block of that source it takes.
 blocks are equal numbers of words on it, and a rank beyond the last block starts over, ``repeats``
 times at most. ``blocks`` joins slots with the pieces of documents inside their block.
 
+A block grows with the corpus (5 billion words: 4,769 words), so by slots alone a source whose target is under a few
+blocks gets none or too much. ``closed`` gives each source just the slots that cover its target, in whole words: slots
+beyond are left out, missing ones come after the last slot, and the last block is taken in part. The pipeline mixes by
+the closed schedule; ``op6_mixing`` is the open one, as its SQL has it.
+
 Everything is arithmetic of whole numbers, so reruns agree. Sums along a tape are taken in two levels
 (common.running_sum): no task holds a whole source. The number of slots is fixed, whatever the corpus.
 
@@ -95,35 +100,56 @@ def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
     return ranked.select("slot", "no_source", "source", (F.col("start") + F.col("inside")).alias("rank"))
 
 
-def blocks(tape: DataFrame, plan: DataFrame, goals: DataFrame, words: Column, repeats: int = REPEATS) -> DataFrame:
-    """row, slot, rank, first, taken: the pieces of documents that a slot takes.
+def closed(plan: DataFrame, goals: DataFrame, words: int, slots: int) -> DataFrame:
+    """``plan`` with as many slots of each source as its target has blocks of ``words`` words, a part of one as one."""
+    had = plan.groupBy("no_source", "source").agg(F.count("*").alias("had"))
+    wanted = goals.select("no_source", "source", F.ceil(F.round("target") / F.lit(words)).cast("long").alias("wanted")).where("wanted > 0")
+    wanted = written(wanted.join(had, ["no_source", "source"], "left").withColumn("had", F.coalesce("had", F.lit(0))), "mix-wanted")
+    kept = plan.join(wanted.drop("had"), ["no_source", "source"]).where("rank < wanted").select("slot", "no_source", "source", "rank")
+    short = wanted.where("had < wanted")
+    # One row per source, as in targets: the places after the last slot.
+    before = Window.orderBy("no_source", "source").rowsBetween(Window.unboundedPreceding, -1)
+    short = short.withColumn("place", F.lit(slots) - F.col("had") + F.coalesce(F.sum(F.col("wanted") - F.col("had")).over(before), F.lit(0)))
+    added = short.withColumn("rank", F.explode(F.sequence("had", F.col("wanted") - 1)))
+    return kept.union(added.select((F.col("place") + F.col("rank")).alias("slot"), "no_source", "source", "rank"))
+
+
+def blocks(tape: DataFrame, plan: DataFrame, goals: DataFrame, words: Column, repeats: int = REPEATS, whole: bool = False) -> DataFrame:
+    """row, slot, rank, first, taken: the pieces of documents that a slot takes; ``whole``: up to the target.
 
     ``words`` is the number of words in a block, ``first`` the first word of the document in it. A
     document meets as many blocks as its words span, in each round of the tape: the pieces grow with the
     documents and the slots, never with their product.
     """
-    sized = tape.join(goals.select("no_source", "source", "source_size"), ["no_source", "source"]).where("size > 0")
+    end = F.round("target").cast("long") if whole else F.col("source_size") * repeats
+    sized = tape.join(goals.select("no_source", "source", "source_size", end.alias("end")), ["no_source", "source"]).where("size > 0")
     rounds = sized.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     begin = F.col("start") + F.col("round") * F.col("source_size")
-    rounds = rounds.withColumn("begin", begin).withColumn("block_words", words)
+    rounds = rounds.withColumn("begin", begin).withColumn("block_words", words).where("begin < end")
     met = F.sequence(F.floor(F.col("begin") / F.col("block_words")), F.floor((F.col("begin") + F.col("size") - 1) / F.col("block_words")))
     pieces = rounds.withColumn("rank", F.explode(met))
     taken = pieces.join(plan, ["no_source", "source", "rank"])
     left = F.greatest(F.col("begin"), F.col("rank") * F.col("block_words"))
-    right = F.least(F.col("begin") + F.col("size"), (F.col("rank") + 1) * F.col("block_words"))
-    return taken.select("row", "slot", "rank", (left - F.col("begin")).alias("first"), (right - left).alias("taken"))
+    right = F.least(F.col("begin") + F.col("size"), (F.col("rank") + 1) * F.col("block_words"), F.col("end"))
+    return taken.where(right > left).select("row", "slot", "rank", (left - F.col("begin")).alias("first"), (right - left).alias("taken"))
+
 
+def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, slots: int = SLOTS, whole: bool = False) -> DataFrame:
+    """key, row, size, source_size, target, taken for every document; taken: words in all slots.
 
-def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, slots: int = SLOTS) -> DataFrame:
-    """key, row, size, source_size, target, taken for every document; taken: words in all slots."""
+    ``whole``: by the closed schedule, so that a source's taken words are its target.
+    """
     rows = written(sizes(docs, key, source, text), "mix-sizes")
     goals = written(targets(rows, weights, repeats), "mix-targets")
     total = goals.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("t")).first()["t"]
     words = max(1, -(-total // slots))
     block_words = F.lit(words)
-    plan = schedule(goals, -(-total // words))  # as many blocks as hold all words: fewer than slots if words are few
+    used = -(-total // words)  # as many blocks as hold all words: fewer than slots if words are few
+    plan = schedule(goals, used)
+    if whole:
+        plan = closed(plan, goals, words, used)
     tape = running_sum(rows.where("size > 0"), ["no_source", "source"], ["order", "key", "size", "row"], "size", "start")
-    pieces = blocks(tape, plan, goals, block_words, repeats).groupBy("row").agg(F.sum("taken").alias("taken"))
+    pieces = blocks(tape, plan, goals, block_words, repeats, whole).groupBy("row").agg(F.sum("taken").alias("taken"))
     every = rows.join(pieces, "row", "left").join(goals, ["no_source", "source"])
     return every.select("key", "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -169,7 +195,10 @@ FROM x JOIN n ON x.source IS NOT DISTINCT FROM n.source
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in whole documents: a part of half or more counts as one."""
-    found = mixed(docs).select(F.col("row").alias(ROW), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"))
+    """Documents as often as the mix takes them, in whole documents: a part of half or more counts as one.
+
+    Of a source one document at most is taken in part, so it is off its target by half a document at most.
+    """
+    found = mixed(docs, whole=True).select(F.col("row").alias(ROW), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"))
     chosen = numbered(docs).join(found.where("_times > 0"), ROW)
     return chosen.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

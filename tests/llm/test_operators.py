@@ -485,6 +485,42 @@ def test_mix_by_replaying_the_schedule(spark, tmp_path):
     assert all(r.taken <= 3 * r.size and r.target == pytest.approx(target[of[i]]) and r.source_size == totals[of[i]] for i, r in got.items())
 
 
+@pytest.mark.parametrize("slots", [7, 60, 1 << 20])
+def test_closed_schedule_covers_every_target(spark, tmp_path, slots):
+    """Also of sources that are far smaller than a block."""
+    rng = np.random.default_rng(6)
+    rows = [(i, prose(i, int(rng.integers(1, 60))), "big") for i in range(200)]
+    rows += [(1000 + i, prose(i, 3 + i % 20), f"s{i // 2}") for i in range(80)] + [(2000, None, "none"), (2001, "a b c", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = mixing.mixed(docs, slots=slots, whole=True).collect()
+    of = {i: s for i, _, s in rows}
+    totals, taken = collections.Counter(), collections.Counter()
+    for r in got:
+        totals[of[r.key]] += r.size
+        taken[of[r.key]] += r.taken
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    assert {s: taken[s] for s in totals} == {s: pytest.approx(t, abs=0.5) for s, t in brute_targets(totals).items()}
+    total = sum(totals.values())
+    words = max(1, -(-total // slots))
+    goals = mixing.written(mixing.targets(mixing.sizes(docs)), "test-targets")
+    plan = mixing.closed(mixing.schedule(goals, -(-total // words)), goals, words, -(-total // words)).collect()
+    ranks = collections.defaultdict(list)
+    for r in sorted(plan, key=lambda r: r.slot):
+        ranks[None if r.no_source else r.source].append(r.rank)
+    assert len({r.slot for r in plan}) == len(plan) and all(v == list(range(len(v))) for v in ranks.values())
+    assert {s: len(v) for s, v in ranks.items()} == {s: math.ceil(math.floor(t + 0.5) / words) for s, t in brute_targets(totals).items() if t}
+
+
+def test_mixing_stage_keeps_small_sources(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(i, 100), "big") for i in range(60)] + [(100 + i, prose(i, 10), f"s{i:02}") for i in range(30)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(1).write.parquet(str(tmp_path / "d"))
+    monkeypatch.setattr(mixing.mixed, "__defaults__", tuple(20 if d == mixing.SLOTS else d for d in mixing.mixed.__defaults__))
+    found = mixing.mixing_stage(spark, spark.read.parquet(str(tmp_path / "d")), "").collect()
+    times = collections.Counter(r.source for r in found)
+    assert all(times[f"s{i:02}"] == 3 for i in range(30))
+
+
 def test_mix_on_awkward_rows(spark, awkward, empty):
     found = mixing.mixed(awkward).collect()
     assert len(found) == 17 and all(0 <= r.taken <= 3 * r.size for r in found)
