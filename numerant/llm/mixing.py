@@ -198,7 +198,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents as often as the mix takes them, in whole documents: a part of half or more counts as one.
 
     Of a source one document at most is taken in part, so it is off its target by half a document at most.
+    Documents without words are never taken.
     """
-    found = mixed(docs, whole=True).select(F.col("row").alias(ROW), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"))
+    found = mixed(docs, whole=True).select(F.col("row").alias(ROW), F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_times"))
     chosen = numbered(docs).join(found.where("_times > 0"), ROW)
     return chosen.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

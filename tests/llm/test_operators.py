@@ -529,6 +529,11 @@ def test_mix_on_awkward_rows(spark, awkward, empty):
     assert mixing.mixing_stage(spark, empty, "").collect() == []
 
 
+def test_mixing_stage_on_awkward_rows(spark, awkward):
+    found = mixing.mixing_stage(spark, awkward, "").collect()
+    assert found and all((r.text or "").split() for r in found) and found[0].asDict().keys() == set(awkward.columns)
+
+
 # --- 7: sharding
 
 @pytest.mark.parametrize("bucket_bytes", [32 << 20, 20_000])

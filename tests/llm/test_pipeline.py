@@ -40,3 +40,10 @@ def test_awkward_tables(spark, tmp_path, rows):
     assert found.count() == (12 if rows else 0)
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), SF_DIR).columns == SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")
+
+
+def test_awkward_rows_are_computed(spark, tmp_path):
+    spark.createDataFrame(awkward_rows(), SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), SF_DIR).collect()
+        assert found and {r.doc_id for r in found} <= {r[0] for r in awkward_rows()}
