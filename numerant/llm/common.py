@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +49,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and no lost executor takes it along."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def path_of(df: DataFrame) -> str:
+    """Where ``written`` has put ``df``."""
+    return df.scratch
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``written`` has put on disk for these tables: nothing that is still to be computed reads them."""
+    for df in tables:
+        remove_path(df.sparkSession, path_of(df))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
