@@ -75,6 +75,23 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Row number and whole row of a scan: no column of the row can clash with what a stage adds."""
+    settled(docs.sparkSession)
+    return docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores put before those that ``docs`` has as columns."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``limit`` bytes in ``column``; one longer text is one part."""
     start = size = 0
@@ -107,3 +124,19 @@ def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, out:
         .withColumn(out, F.col("_start") + F.col("_local"))
         .drop("_range", "_start", "_local")
     )
+
+
+def sums_before(df: DataFrame, order: list[str], values: dict[str, str]) -> DataFrame:
+    """``df`` with, for each (out, value) of ``values``, the sum of ``value`` over the rows before in ``order``, which has no ties.
+
+    Rows are dealt by range and written; sums inside a range meet those of the ranges before it, one row
+    per range: no task holds all rows.
+    """
+    ranged = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda value: F.lit(0).cast(df.schema[value].dataType)
+    parts = ranged.groupBy("_part").agg(*(F.sum(v).alias(f"_{o}") for o, v in values.items()))
+    parts = parts.select("_part", *(F.coalesce(F.sum(f"_{o}").over(before), zero(v)).alias(f"_{o}") for o, v in values.items()))
+    local = ranged.withColumns({o: F.coalesce(F.sum(v).over(inside), zero(v)) for o, v in values.items()})
+    return local.join(parts, "_part").withColumns({o: F.col(o) + F.col(f"_{o}") for o in values}).drop("_part", *(f"_{o}" for o in values))

@@ -5,18 +5,19 @@ Shingles are five words, lower case. The i-th repeat of a shingle in a text is a
 hashes, and the shingles of these in text order are the sketch. Texts with the same shingles in another
 order differ in it, which an unordered MinHash does not see.
 
-``similar``: two texts are near-duplicates if an alignment of their shingle sequences matches m shingles
-with m / (n1 + n2 - m) of at least ``SIMILARITY``. Such an alignment leaves at most (n1 + n2) / 9 shingles
-unmatched at 0.8, and so never leaves a band of that width, to which the dynamic programme (one bit
-per column, so a row is a few operations on whole words) is kept. The chance that a pair at 0.8 shares no
-sketch is under 1e-6.
+``aligned``: two texts are near-duplicates if an alignment of their shingle sequences matches m shingles
+with m / (n1 + n2 - m) of at least ``LEAST``. Such an alignment leaves at most (n1 + n2) / 9 shingles
+unmatched at 0.8, and so never leaves a band of that width. The dynamic programme keeps one bit per column of the band, which slides
+along with the row: a pair of n words costs n operations on words of the band and memory for the places of n shingles. The chance that
+a pair at 0.8 shares no sketch is under 1e-6.
 
 ``classes``: texts with the same words are one node from the start. In a bucket (nodes with a common
-sketch) each node is compared with the leader, the node that shares most buckets, as a copied original
-does; nodes unlike it get another leader while they are more than ``REST`` nodes or ``REST_WORDS`` words. So a bucket of n
+sketch) each node is compared with the leader, the node whose sketches occur most, as those of a copied original
+do; the nodes unlike it get another leader, ``ROUNDS`` at most, while they are more than ``REST``; that only saves work. So a bucket of n
 near copies costs n comparisons. Verified links make components by alternating large and small stars.
-Then ``crossed`` compares all nodes of a bucket that are not in one component yet, in blocks of that size, until a link joins
-their components: no verified link between nodes of a bucket is left out, and pairs are never listed.
+Then all nodes of a bucket that are not in one component yet meet (linking.crossed): a pair is verified, once whatever the number of its buckets,
+if sizes and parities of labelled shingles allow it. Buckets of more than linking.BLOCK nodes meet by rare elements of their nodes (linking.thinned).
+No verified link between nodes of a bucket that would join two components is left out, and tables are deleted as soon as the next is written.
 
 Defined results: a text with fewer than five words has one shingle of all its words; texts without a
 word, null ones too, have the same (no) words and are one class; a class is named by its smallest key,
@@ -35,20 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
-from .common import ROW, SPACE, numbered, table, text_of, written
+from .common import ROW, SPACE, forget, numbered, packed, table, text_of, written
+from .linking import alike, components, counts, crossed, led, mixed, parity, prefix_of, resolved, thinned, weight_of
 
 WORDS = 5
 BANDS = 20
 PICKED = 3
-SIMILARITY = 0.8
-REST = 1024  # nodes of a bucket compared in one task
-REST_WORDS = 1_000_000  # and their words
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+LEAST = (8, 10)
+ROUNDS = 3
+REST = 64  # nodes unlike their leader that a bucket may keep before it gets another leader
+OFTEN = 1024  # places of a shingle in a text that are kept as a list
 
 
 def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
@@ -57,7 +54,7 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     n = max(1, len(words) - width + 1) if len(words) else 0
     h = np.full(n, len(words) if len(words) < width else width, np.uint64)
     for j in range(min(width, len(words))):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n])
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n])
     return h
 
 
@@ -79,22 +76,23 @@ def order_minhash(words: np.ndarray, bands: int = BANDS, picked: int = PICKED) -
     h = shingles(words)
     if not len(h):
         return np.zeros(0, np.int64)
-    seeds = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    g = _mixed(labelled(h)[None, :] ^ seeds[:, None])
+    seeds = mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    g = mixed(labelled(h)[None, :] ^ seeds[:, None])
     at = np.argpartition(g, picked - 1, axis=1)[:, :picked] if len(h) > picked else np.tile(np.arange(len(h)), (bands, 1))
     ordered = h[np.sort(at, axis=1)]
     out = seeds.copy()
     for j in range(ordered.shape[1]):
-        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + ordered[:, j])
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + ordered[:, j])
     return out.view(np.int64)
 
 
-def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+def aligned(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = LEAST) -> bool:
     """Whether an alignment of the shingle sequences reaches the similarity."""
     n, total = min(len(a), len(b)), len(a) + len(b)
-    need = int(np.ceil(least * total / (1 + least) - 1e-9))  # matches that are enough
+    need = -(-least[0] * total // (least[0] + least[1]))  # matches that are enough
     if n < need:
         return False
+    band = total - 2 * need
     differ = np.flatnonzero(a[:n] != b[:n])
     start = int(differ[0]) if len(differ) else n
     a, b = a[start:], b[start:]
@@ -107,19 +105,37 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
         return True
     if min(len(a), len(b)) < need or np.isin(a, b).sum() < need:
         return False
-    band = total - 2 * (need + start + end)
-    places: dict[int, int] = {}
-    for i, x in enumerate(a.tolist()):
-        places[x] = places.get(x, 0) | 1 << i
-    whole, width = (1 << len(a)) - 1, (1 << 2 * band + 1) - 1
-    row = whole  # a zero at column i: the best alignment grows by one there
-    for j, x in enumerate(b.tolist()):
-        match = places.get(x, 0)
+    order = np.argsort(a, kind="stable")
+    first, last = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
+    often: dict[int, int] = {}
+    for x in first[last - first > OFTEN].tolist():  # few shingles can be frequent: all places as bits
+        if x not in often:
+            bits = np.zeros(len(a), bool)
+            bits[order[x : int(np.searchsorted(a[order], a[order[x]], "right"))]] = True
+            often[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    width = 2 * band + 1
+    whole = (1 << width) - 1
+    row, low, done = whole, 0, 0  # columns low to low + width; a zero: the best alignment grows by one there
+    for j, (x, y) in enumerate(zip(first.tolist(), last.tolist())):
+        if j > band:
+            done += 1 - (row & 1)
+            row, low = row >> 1 | 1 << width - 1, low + 1
+        if x == y:
+            continue
+        if x in often:
+            match = often[x] >> low & whole
+        else:
+            places = order[x:y]
+            if y - x > 8:
+                places = places[np.searchsorted(places, low) : np.searchsorted(places, low + width)]
+            match = 0
+            for p in places.tolist():
+                if low <= p < low + width:
+                    match |= 1 << p - low
         if match:
-            match &= width << j - band if j > band else width >> band - j
             grown = row & match
             row = ((row + grown) | (row - grown)) & whole
-    return len(a) - row.bit_count() >= need
+    return done + width - row.bit_count() >= need
 
 
 def word_hashes(text):
@@ -127,8 +143,13 @@ def word_hashes(text):
     return F.transform(F.array_remove(F.split(F.lower(text), SPACE + "+"), ""), lambda w: F.xxhash64(w))
 
 
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[i:j] for i, j in zip(ends[:-1], ends[1:])]
+
+
 def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, key, digest of the words, sketches; for every row."""
+    """row, key, digest of the words, size and parities of the labelled shingles, sketches; for every row."""
     slim = numbered(docs.select(key, text)).select(
         F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), word_hashes(text_of(text)).alias("words")
     )
@@ -137,188 +158,132 @@ def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         import hashlib
 
         for batch in batches:
-            words = batch.column(2)
-            flat, ends = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
-            each = [flat[i:j] for i, j in zip(ends[:-1], ends[1:])]
+            each = _arrays(batch.column(2))
+            sets = [labelled(shingles(w)) for w in each]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1),
                     pa.array([hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in each], pa.binary()),
+                    pa.array([len(x) for x in sets], pa.int64()), pa.array([parity(x) for x in sets], pa.binary()),
                     pa.array([order_minhash(w) for w in each], pa.list_(pa.int64())),
                 ],
-                names=["row", "key", "digest", "sketches"],
+                names=["row", "key", "digest", "size", "bits", "sketches"],
             )
 
-    return slim.mapInArrow(sketch, "row long, key long, digest binary, sketches array<long>")
+    return slim.mapInArrow(sketch, "row long, key long, digest binary, size long, bits binary, sketches array<long>")
+
 
+def word_table(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """node, words of the nodes (rows of ``docs``)."""
+    some = numbered(docs.select(text)).join(broadcast_if_small(nodes.select(F.col("node").alias(ROW))), ROW, "left_semi")
+    return some.select(F.col(ROW).alias("node"), word_hashes(text_of(text)).alias("words"))
 
-def compared(pairs: DataFrame) -> DataFrame:
-    """a, b, similar for pairs with a_words and b_words."""
+
+def compared(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """a, b: those of ``pairs`` that an alignment makes near-duplicates; written."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(2), batch.column(3)
-            found = [aligned(shingles(np.array(x.values)), shingles(np.array(y.values))) for x, y in zip(a, b)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], names=["a", "b", "similar"])
-
-    return pairs.select("a", "b", "a_words", "b_words").mapInArrow(compare, "a long, b long, similar boolean")
-
-
-def shared_counts(labels: list[np.ndarray], block: int = 4096) -> np.ndarray:
-    """How many labelled shingles each two texts share, from products of a 0/1 matrix, some columns at a time."""
-    rows = np.repeat(np.arange(len(labels)), [len(x) for x in labels])
-    _, column, often = np.unique(np.concatenate(labels) if labels else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
-    number = np.cumsum(often > 1) - 1  # a shingle of one text is shared by none
-    rows, column = rows[often[column] > 1], number[column[often[column] > 1]]
-    out = np.zeros((len(labels), len(labels)), np.float32)
-    for start in range(0, int(column.max(initial=-1)) + 1, block):
-        here = (column >= start) & (column < start + block)
-        part = np.zeros((len(labels), block), np.float32)
-        part[rows[here], column[here] - start] = 1
-        out += part @ part.T
+            found = [aligned(shingles(np.array(x.values)), shingles(np.array(y.values))) for x, y in zip(batch.column(2), batch.column(3))]
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    involved = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "near-involved")
+    words = written(word_table(docs, involved, text), "near-words")
+    side = lambda x: words.select(F.col("node").alias(x), F.col("words").alias(f"{x}_words"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_words", "b_words")
+    out = written(both.mapInArrow(compare, "a long, b long"), "near-compared")
+    forget(involved, words)
     return out
 
 
-def _joining(key: tuple, nodes: pa.Table) -> pa.Table:
-    """Links between components (root) of a group; with nodes of both sides only links from one side to the other."""
-    order = np.argsort(nodes.column("node").to_numpy())
-    ids = nodes.column("node").to_numpy()[order]
-    sides = nodes.column("side").to_numpy()[order]
-    words = nodes.column("words").combine_chunks()
-    flat, ends = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
-    each = [shingles(flat[ends[i] : ends[i + 1]]) for i in order.tolist()]
-    _, parent = np.unique(nodes.column("root").to_numpy()[order], return_inverse=True)
-    open_ = np.triu(parent[:, None] != parent[None, :], 1)
-    if sides.min() != sides.max():
-        open_ &= sides[:, None] != sides[None, :]
-    sizes = np.array([len(x) for x in each])
-    need = np.ceil(SIMILARITY * (sizes[:, None] + sizes[None, :]) / (1 + SIMILARITY) - 1e-9)
-    shared = shared_counts([labelled(x) for x in each])
-    one, other = np.nonzero(open_ & (shared >= need))  # fewer in common cannot be aligned
-    likely = np.argsort(-shared[one, other] / need[one, other], kind="stable")
-    links = []
-    for i, j in zip(one[likely].tolist(), other[likely].tolist()):
-        if parent[i] != parent[j] and aligned(each[i], each[j]):
-            links.append((ids[i], ids[j]))
-            parent[parent == parent[j]] = parent[i]
-    return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-
-def crossed(open_: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
-    """a, b: links that join components of nodes with a common bucket.
-
-    ``open_``: bucket, node; ``roots``: node, root, where linked; ``words``: node, words; all written. The largest
-    component of a bucket is dealt to blocks, its other nodes too; each block of other nodes meets every
-    block of the bucket, so the largest component is sent as often as there are blocks of others.
-    """
-    rooted = open_.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    rooted = rooted.join(words.select("node", F.size("words").cast("long").alias("size")), "node")
-    rooted = written(rooted, "near-rooted")
-    mark = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(20,0)")).alias(f"mark{i}") for i in (0, 1)]
-    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"), *mark)
-    most = F.max(F.struct("n", "size", "root"))
-    buckets = parts.groupBy("bucket").agg(
-        F.count("*").alias("roots"), most.alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"),
-        F.sum("mark0").alias("mark0"), F.sum("mark1").alias("mark1"),
-    ).where("roots > 1 and n > 2")  # two nodes have been compared
-    # Buckets of the same nodes are compared once.
-    buckets = buckets.groupBy("n", "mark0", "mark1").agg(F.min(F.struct("bucket", "main", "size")).alias("b")).select("n", "b.*")
-    blocks = lambda n, size: F.ceil(F.greatest(n / F.lit(max(1, REST // 2)), size / F.lit(max(1, REST_WORDS // 2))))
-    whole = (F.col("n") <= REST) & (F.col("size") <= REST_WORDS)
-    buckets = buckets.select(
-        "bucket", F.col("main.root").alias("main"), whole.alias("whole"), blocks(F.col("main.n"), F.col("main.size")).alias("mains"),
-        blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("others"),
-    )
-    buckets = written(buckets, "near-crossing")
-    met = rooted.drop("size").join(buckets, "bucket")
-    is_main = F.col("root") == F.col("main")
-    mine = F.pmod(F.xxhash64("node", F.lit("block")), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
-    group = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), side.cast("int").alias("side"))
-    me, zero = F.col("mine"), F.lit(0)
-    groups = (
-        F.when(F.col("whole"), F.array(group(0, zero, zero, zero)))
-        .when(is_main, F.transform(upto(F.col("others")), lambda j: group(1, me, j, zero)))
-        .otherwise(F.concat(
-            F.transform(upto(F.col("mains")), lambda i: group(1, i, me, F.lit(1))),
-            F.transform(upto(F.col("others")), lambda j: group(2, F.least(me, j), F.greatest(me, j), me > j)),
-        ))
-    )
-    met = met.withColumn("mine", mine).select("bucket", "node", "root", F.explode(groups).alias("g")).select("bucket", "node", "root", "g.*")
-    met = met.join(words, "node")
-    return written(met.groupBy("bucket", "kind", "i", "j").applyInArrow(_joining, "a long, b long"), "near-crossed").distinct()
-
+def _prefixes(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """bucket, node, size, pos, weight: the prefixes of labelled shingles, in the order of how rare they are among these nodes."""
+    words = word_table(docs, nodes, text)
+    sets = lambda batch: [labelled(shingles(w)) for w in _arrays(batch.column("words"))]
+    rank = words.sparkSession.sparkContext.broadcast(counts(words, lambda batches: map(sets, batches)))
 
-def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """a, b: the components of these are those of all verified links. ``nodes``: node (a row of ``docs``) and sketches, written."""
-    spark = nodes.sparkSession
-    kept = nodes.select("node", F.posexplode("sketches").alias("band", "sketch")).select("node", F.xxhash64("band", "sketch").alias("bucket"))
-    full = kept.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    open_ = written(kept.join(full, "bucket"), "near-buckets")
-    central = open_.groupBy("node").agg((-F.sum("n")).alias("rank"))
-    all_ = open_ = written(open_.join(central, "node").select("bucket", "node", "rank"), "near-open")
-    involved = open_.select(F.col("node").alias(ROW)).distinct()
-    words = numbered(docs.select(text)).join(broadcast_if_small(involved), ROW, "left_semi")
-    words = written(words.select(F.col(ROW).alias("node"), word_hashes(text_of(text)).alias("words")), "near-words")
-    found = spark.createDataFrame([], "a long, b long")
-    while True:
-        leaders = open_.groupBy("bucket").agg(F.min(F.struct("rank", "node"))["node"].alias("leader"))
-        leaders = written(leaders, "near-leaders")  # both sides are exchanged then, so a full bucket can be split
-        led = written(open_.join(leaders, "bucket").where("node != leader"), "near-led")
-        pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
-        pairs = pairs.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-        checked = written(compared(pairs), "near-checked")
-        found = found.union(checked.where("similar").select("a", "b"))
-        unlike = checked.where("not similar").select(F.col("a").alias("leader"), F.col("b").alias("node"))
-        rest = led.join(unlike, ["leader", "node"]).select("bucket", "node", "rank")
-        left = rest.join(words.select("node", F.size("words").alias("size")), "node")
-        left = left.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size")).where("n > 1")
-        left = left.where((F.col("n") > REST) | (F.col("size") > REST_WORDS))
-        open_ = written(rest.join(left, "bucket").select("bucket", "node", "rank"), "near-rest")
-        if open_.isEmpty():
-            break
-    roots = written(components(written(found.distinct(), "near-found")), "near-linked")
-    stars = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return written(stars.union(crossed(all_, roots, words)), "near-links")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node of ``edges`` (a, b): root is the smallest node of its component."""
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = sets(batch)
+            first = [prefix_of(x, rank.value, LEAST) for x in each]
+            n = [len(x) for x in first]
+            spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), n))
+            arrays = [
+                pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)), spread(batch.column("node").to_pylist()), spread([len(x) for x in each]),
+                pa.array(np.concatenate([*map(np.arange, n), np.zeros(0, np.int64)])), spread([weight_of(x, rank.value) for x in first]),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "node", "size", "pos", "weight"])
+
+    return words.mapInArrow(index, "bucket long, node long, size long, pos long, weight long")
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """bucket, node, size, pos (0), weight: a row for each sketch of a node."""
+    of = lambda column: [mixed(x.view(np.uint64) + np.arange(len(x), dtype=np.uint64)) for x in _arrays(column)]  # noqa: E731 (a band has buckets of its own)
+    slim = nodes.select("node", "size", "sketches")
+    rank = nodes.sparkSession.sparkContext.broadcast(counts(slim, lambda batches: (of(b.column("sketches")) for b in batches)))
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = of(batch.column("sketches"))
+            n = [len(x) for x in each]
+            spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), n))
+            buckets = np.concatenate([*each, np.zeros(0, np.uint64)])
+            arrays = [
+                pa.array(buckets.view(np.int64)), spread(batch.column("node").to_pylist()), spread(batch.column("size").to_pylist()),
+                pa.array(np.zeros(len(buckets), np.int64)), spread([weight_of(x, rank.value) for x in each]),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "node", "size", "pos", "weight"])
 
-    def larger(e: DataFrame) -> DataFrame:
-        return e.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("v != u").distinct()
+    return slim.mapInArrow(index, "bucket long, node long, size long, pos long, weight long")
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first())
 
-    now = written(larger(edges), "stars")
-    before = None
-    while (sign := mark(now)) != before:
-        before = sign
-        both = now.union(now.select("u", "v")).toDF("v", "u")  # u: a neighbour of v
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("a"), F.col("m").alias("b"))
-        now = written(larger(large), "stars")
-        least = now.groupBy("v").agg(F.min("u").alias("m"))
-        small = now.join(least, "v").select(F.col("u").alias("a"), F.col("m").alias("b")).union(least.select("v", "m"))
-        now = written(larger(small), "stars")
-    nodes = now.select(F.col("v").alias("node"), F.col("u").alias("root"))
-    return nodes.union(now.select("u", "u").distinct())
+def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """node, root of the components of all verified links; written. ``nodes``: node (a row of ``docs``), size, bits, sketches; written."""
+    open_ = all_ = written(led(_buckets(nodes)), "near-open")
+    found, gone = nodes.sparkSession.createDataFrame([], "a long, b long"), []
+    for i in range(ROUNDS):
+        followers = open_.where("node != leader")
+        pairs = written(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+        likely = alike(pairs, nodes, LEAST)
+        ok = compared(likely.select("a", "b"), docs, text)
+        gone += [ok, open_]
+        found = found.union(ok)
+        rest = followers.join(broadcast_if_small(ok.select(F.col("a").alias("leader"), F.col("b").alias("node"))), ["leader", "node"], "left_anti")
+        many = written(rest.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > REST).select("bucket"), "near-many")
+        forget(pairs, likely)
+        last = i + 1 == ROUNDS or many.isEmpty()
+        if not last:
+            open_ = written(led(rest.join(broadcast_if_small(many), "bucket", "left_semi")), "near-rest")
+        forget(many)
+        if last:
+            break
+    roots = components(found)
+    rows = all_.select("bucket", "node", "size", "pos").join(broadcast_if_small(roots), "node", "left")
+    rows = written(rows.select("bucket", "node", F.coalesce("root", "node").alias("root"), "size", "pos"), "near-rows")
+    forget(*gone)
+    rows = thinned(rows, LEAST, lambda some: _prefixes(docs, some, text))
+    pairs = crossed(rows, nodes, LEAST)
+    ends = resolved(pairs, roots, lambda some: compared(some, docs, text))
+    forget(rows, pairs, roots)
+    return ends
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs``: row, key, class_id, class_size, kept."""
     rows = written(sketched(docs, key, text), "near-sketches")
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))
-    nodes = rows.groupBy("digest").agg(first.alias("best"), F.count("*").alias("n"), F.first("sketches").alias("sketches"))
+    nodes = rows.groupBy("digest").agg(first.alias("best"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("size", "bits", "sketches")))
     nodes = written(nodes.withColumn("node", F.col("best.row")), "near-nodes")
-    roots = components(links(nodes.select("node", "sketches"), docs.select(text), text))
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = written(rooted.select("digest", "root", "best", "n"), "near-roots")
-    whole = rooted.groupBy("root").agg(F.min("best").alias("kept"), F.sum("n").alias("class_size"))
-    named = rooted.select("digest", "root").join(whole, "root")
-    named = written(named.select("digest", F.col("kept.key").alias("class_id"), F.col("kept.row").alias("kept_row"), "class_size"), "near-classes")
+    roots = links(nodes.select("node", "size", "bits", "sketches"), docs.select(text), text)
+    ends = written(nodes.select("node", "best", "n").join(broadcast_if_small(roots), "node"), "near-ends")
+    whole = written(ends.groupBy("root").agg(F.min("best").alias("kept"), F.sum("n").alias("class_size")), "near-whole")
+    ends = written(ends.join(broadcast_if_small(whole), "root").select("node", "kept", "class_size"), "near-named")
+    named = nodes.select("node", "digest", "best", "n").join(broadcast_if_small(ends), "node", "left")
+    kept = F.coalesce("kept", "best")
+    named = named.select("digest", kept["key"].alias("class_id"), kept["row"].alias("kept_row"), F.coalesce("class_size", "n").alias("class_size"))
+    named = written(named, "near-classes")
+    forget(nodes, roots, whole, ends)
     return rows.select("row", "key", "digest").join(named, "digest").select("row", "key", "class_id", "class_size", (F.col("row") == F.col("kept_row")).alias("kept"))
 
 
@@ -330,4 +295,4 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without near-duplicates: one of each class."""
     keep = classes(docs).where("kept").select(F.col("row").alias(ROW))
-    return numbered(docs).join(keep, ROW, "left_semi").drop(ROW)
+    return packed(docs).join(keep, ROW, "left_semi").select("doc.*")

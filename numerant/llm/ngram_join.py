@@ -5,15 +5,13 @@ is at least ``LEAST``. Sets are ordered by how often their elements occur, rare
 all documents in ``SLOTS`` slots of a hash (any fixed order is right; a good one makes short lists). Similar sets
 of n and m elements share one of their first n - ceil(n * LEAST) + 1, their prefixes.
 
-``groups``: equal sets are one node; nodes with the same prefix and size are one group, so a prefix is indexed once, whatever the
-number of its copies. ``bucketed``: groups by element of the prefix, streamed in order of (element, size); a row stays if
-its neighbour in that order is near enough in size, as otherwise none is.
-
-``linked``: in each bucket the group in most buckets leads; its first node is verified with the nodes of the others, after
-tests of size and position on the pair of groups and of parities on the pair of nodes (see ``linking``). So a bucket of n near copies costs
+Equal sets are one node; nodes with the same prefix and size are one group, named by its smallest node, so a prefix is indexed once, whatever the
+number of its copies. Groups meet by the elements of their prefixes (buckets). In each bucket a group leads, the one whose prefix occurs most;
+pairs of a leader and another group are filtered by their sizes and the positions of the common element, expanded to the nodes of the groups,
+filtered by parities (see ``linking``), and verified on the whole sets. So a bucket of n near copies costs
 n comparisons. The nodes unlike their leaders get further leaders, ``ROUNDS`` at most, while many are left; that only
 saves work. Then ``crossed`` meets all nodes of a bucket that are not in one component yet, expanded from their groups, and
-the pairs that pass are verified on their whole sets: no link between different sets is lost, and pairs are never listed that cannot change a component.
+the pairs that pass are verified: no link between different sets is lost, and no pair is verified that cannot change a component.
 
 Defined results: with fewer than ``WIDTH`` words the whole sequence is one shingle; null, empty and blank texts have no
 shingle and are linked with nothing; a component is named by its smallest key, a null key comes last and is null as
@@ -31,11 +29,10 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from .common import ROW, forget, numbered, slices, table, text_of, written
-from .linking import alike, components, crossed, mixed, needed, parity
+from .linking import SLOTS, alike, components, counts, crossed, led, mixed, needed, parity, prefix_of, resolved, weight_of
 
 WIDTH = 4
 LEAST = (85, 100)
-SLOTS = 1 << 21
 ROUNDS = 3
 REST = 64  # nodes unlike their leader that a bucket may keep before it gets another leader
 PIECE = 4 << 20
@@ -104,52 +101,8 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Re
             yield batch, [shingle_set(w, width) for w in words(batch.column("text"))]
 
 
-def counts(texts: DataFrame, width: int = WIDTH, slots: int = SLOTS) -> np.ndarray:
-    """How many documents have a shingle of each slot, on a scale of 256 steps an octave; ``slots`` numbers at any size of the corpus."""
-    part = 1 << 16
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, size = np.zeros(slots, np.int64), [], 0
-        for _, sets in _sets(batches, width):
-            held += sets
-            size += sum(map(len, sets))
-            if size > slots:
-                seen += np.bincount((np.concatenate(held) % np.uint64(slots)).astype(np.int64), minlength=slots)
-                held, size = [], 0
-        if held:
-            seen += np.bincount((np.concatenate(held) % np.uint64(slots)).astype(np.int64), minlength=slots)
-        for p in range(-(-slots // part)):
-            at = np.flatnonzero(seen[p * part : (p + 1) * part])
-            if len(at):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([at], pa.list_(pa.int32())), pa.array([seen[p * part + at]], pa.list_(pa.int64()))], names=["part", "at", "n"]
-                )
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for p, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                sums.setdefault(p, np.zeros(part, np.int64))[at.values.to_numpy()] += n.values.to_numpy()
-        for p, n in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([n], pa.list_(pa.int64()))], names=["part", "n"])
-
-    each = texts.mapInArrow(count, "part int, at array<int>, n array<long>").repartition("part").mapInArrow(merge, "part int, n array<long>")
-    total = np.zeros(-(-slots // part) * part, np.int64)
-    for r in each.toArrow().to_batches():  # slots numbers in all, whatever the input
-        for p, n in zip(r.column(0).to_pylist(), r.column(1)):
-            total[p * part : (p + 1) * part] = n.values.to_numpy()
-    return np.round(256 * np.log2(1 + total[:slots])).astype(np.uint16)
-
-
-def prefix_of(found: np.ndarray, rank: np.ndarray, least: tuple[int, int] = LEAST) -> np.ndarray:
-    """The first elements of a set in the order of all sets."""
-    n = len(found)
-    order = np.lexsort((found, rank[(found % np.uint64(len(rank))).astype(np.int64)]))
-    return found[order[: n + (-least[0] * n // least[1]) + 1]]
-
-
 def indexed(texts: DataFrame, rank: np.ndarray, width: int = WIDTH, least: tuple[int, int] = LEAST) -> DataFrame:
-    """row, key, size, digest of the set, digest of prefix and size, prefix, bits; for every row."""
+    """row, key, size, digest of the set, digest of prefix and size, weight (how often its elements occur), prefix, bits; for every row."""
     sent = texts.sparkSession.sparkContext.broadcast(rank)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,36 +115,12 @@ def indexed(texts: DataFrame, rank: np.ndarray, width: int = WIDTH, least: tuple
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"), batch.column("key"), pa.array(size), pa.array([digest(s) for s in sets]),
-                    pa.array([digest(f, n) for f, n in zip(first, size)]), pa.array(first, pa.list_(pa.int64())), pa.array([parity(s) for s in sets]),
+                    pa.array([digest(f, n) for f, n in zip(first, size)]), pa.array([weight_of(f.view(np.uint64), sent.value) for f in first], pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array([parity(s) for s in sets]),
                 ],
-                names=["row", "key", "size", "digest", "group", "prefix", "bits"],
+                names=["row", "key", "size", "digest", "group", "weight", "prefix", "bits"],
             )
 
-    return texts.mapInArrow(index, "row long, key long, size long, digest binary, group binary, prefix array<long>, bits binary")
-
-
-def bucketed(groups: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """bucket, group, size, pos: elements of prefixes with a second group near enough in size."""
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, ahead = None, None  # the last row, still to be decided, and whether the one before it is near
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = batch if before is None else pa.concat_batches([before, batch])
-            bucket, size = rows.column(0).to_numpy(), rows.column(2).to_numpy()
-            close = (bucket[:-1] == bucket[1:]) & (needed(size[:-1] + size[1:], least) <= size[:-1])
-            keep = np.r_[close, False]
-            keep[1:] |= close
-            if ahead:
-                keep[0] = True
-            before, ahead = rows.slice(rows.num_rows - 1), bool(keep[-1])
-            yield rows.slice(0, rows.num_rows - 1).filter(pa.array(keep[:-1]))
-        if ahead:
-            yield before
-
-    each = groups.select(F.posexplode("prefix").alias("pos", "bucket"), "group", "size").select("bucket", "group", "size", F.col("pos").cast("long").alias("pos"))
-    return each.repartition("bucket").sortWithinPartitions("bucket", "size").mapInArrow(near, "bucket long, group long, size long, pos long")
+    return texts.mapInArrow(index, "row long, key long, size long, digest binary, group binary, weight long, prefix array<long>, bits binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: tuple[int, int] = LEAST) -> DataFrame:
@@ -222,69 +151,76 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: tupl
 
 
 def linked(nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: tuple[int, int] = LEAST) -> DataFrame:
-    """node, root of every node with a link. ``nodes``: node, size, group, prefix, bits; written."""
-    groups = nodes.groupBy("group").agg(F.min("node").alias("id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.count("*").alias("n"))
-    groups = written(groups, "join-groups")
-    members = written(nodes.select("node", "group").join(groups.select("group", F.col("id"), "n"), "group").select("node", F.col("id").alias("group"), "n"), "join-members")
-    open_ = written(bucketed(groups.select(F.col("id").alias("group"), "size", "prefix"), least), "join-buckets")
-    # A group of several nodes is a bucket of its own.
-    alone = members.where("n > 1").select(F.xxhash64("group", F.lit("group")).alias("bucket"), "node")
-    sized = nodes.select("node", "size")
-    alone = alone.join(sized, "node").select("bucket", "node", "size", F.lit(0).cast("long").alias("pos"))
-    degree = open_.groupBy("group").agg((-F.count("*")).alias("rank"))
-    ranked = written(open_.join(degree, "group"), "join-ranked")
+    """node, root of every node with a link; written. ``nodes``: node, size, group, weight, prefix, bits; written."""
+    of = [F.first(c).alias(c) for c in ("size", "weight", "prefix")]
+    groups = written(nodes.groupBy("group").agg(F.min("node").alias("node"), F.count("*").alias("n"), *of), "join-groups")
+    several = groups.where("n > 1").select("group", F.col("node").alias("first"))
+    # The other nodes of the groups that have several.
+    members = nodes.select("node", "size", "group").join(broadcast_if_small(several), "group").where("node != first")
+    members = written(members.select("first", F.col("node").alias("member"), "size"), "join-members")
+    more = broadcast_if_small(members.select("first", "member"))
+    elements = groups.select("node", "size", "weight", F.posexplode("prefix").alias("pos", "bucket"))
+    open_ = all_ = written(led(elements.withColumn("pos", F.col("pos").cast("long"))), "join-buckets")
+    forget(groups)
     tests = (  # on a pair of groups: sizes, and the elements left from the common one on
         "(l_size + size) * {0} <= {1} * least(size - pos, l_size - l_pos) and (l_size + size) * {0} <= {1} * least(size, l_size)"
     ).format(least[0], least[0] + least[1])
-    found = None
+    found, gone = nodes.sparkSession.createDataFrame([], "a long, b long"), []
     for i in range(ROUNDS):
-        leaders = ranked.groupBy("bucket").agg(F.min(F.struct("rank", "group", "size", "pos")).alias("l"))
-        leaders = written(leaders.select("bucket", F.col("l.group").alias("leader"), F.col("l.size").alias("l_size"), F.col("l.pos").alias("l_pos")), "join-leaders")
-        met = ranked.join(leaders, "bucket").where("group != leader")
-        pairs = met.where(tests).select("leader", "group").distinct()
-        pairs = pairs.join(members.select("node", "group"), "group").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        pairs = open_.where("node != leader").where(tests).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = written(pairs, "join-pairs")
+        other = pairs.join(more, F.col("b") == F.col("first")).select("a", F.col("member").alias("b"))
         if not i:  # the leader of a group is its first node
-            pairs = pairs.union(members.where("node != group").select(F.col("group").alias("a"), F.col("node").alias("b")))
-        likely = written(alike(pairs, nodes, least), "join-likely")
-        ok = verified(likely, texts, width, least)
-        found, last = (ok if found is None else written(found.union(ok), "join-links")), found
-        # Groups whose first node is linked to their leader are done for now; the others may get another leader.
-        done = ok.join(members.where("node = group").select(F.col("node").alias("b")), "b", "left_semi").select(F.col("a").alias("leader"), F.col("b").alias("group"))
-        rest = met.join(done, ["leader", "group"], "left_anti").select("bucket", "group", "size", "pos", "rank")
-        many = rest.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > REST).select("bucket")
-        before, ranked = ranked, written(rest.join(many, "bucket", "left_semi"), "join-ranked")
-        forget(before, leaders, likely, *([ok, last] if last is not None else []))
-        if ranked.isEmpty():
+            other = other.union(members.select(F.col("first").alias("a"), F.col("member").alias("b")))
+        every = written(pairs.union(other), "join-expanded")
+        likely = alike(every, nodes, least)
+        ok = verified(likely.select("a", "b"), texts, width, least)
+        gone += [ok, open_]
+        found = found.union(ok)
+        # What is linked to its leader is done for now; the rest of a bucket may get another leader if it is large.
+        rest = open_.where("node != leader").join(broadcast_if_small(ok.select(F.col("a").alias("leader"), F.col("b").alias("node"))), ["leader", "node"], "left_anti")
+        many = written(rest.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > REST).select("bucket"), "join-many")
+        forget(pairs, every, likely)
+        last = i + 1 == ROUNDS or many.isEmpty()
+        if not last:
+            open_ = written(led(rest.join(broadcast_if_small(many), "bucket", "left_semi")), "join-rest")
+        forget(many)
+        if last:
             break
     roots = components(found)
-    rows = open_.join(members.select("node", "group"), "group").select("bucket", "node", "size", "pos").union(alone)
-    rows = rows.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"), "size", "pos")
+    rows = all_.select("bucket", "node", "size", "pos")
+    inside = F.xxhash64(F.col("first"), F.lit("group"))  # a group of several nodes is a bucket of its own
+    own = members.select(inside.alias("bucket"), F.col("member").alias("node"), "size")
+    own = own.union(members.select(inside, "first", "size")).distinct().withColumn("pos", F.lit(0).cast("long"))
+    rows = rows.union(rows.join(more, F.col("node") == F.col("first")).select("bucket", F.col("member").alias("node"), "size", "pos")).union(own)
+    rows = rows.join(broadcast_if_small(roots), "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"), "size", "pos")
     rows = written(rows, "join-rows")
-    forget(open_, ranked, groups)
+    forget(*gone)
     pairs = crossed(rows, nodes, least)
-    more = verified(pairs, texts, width, least)
-    stars = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    ends = components(stars.union(more))
-    forget(rows, pairs, more, roots, members, found)
+    ends = resolved(pairs, roots, lambda some: verified(some, texts, width, least))
+    forget(rows, pairs, roots, members)
     return ends
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, least: tuple[int, int] = LEAST, slots: int = SLOTS) -> DataFrame:
     """Every row of ``docs``: row, key, size of its set, component (a key), component_size."""
     texts = numbered(docs.select(key, text)).select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-    rank = counts(texts.select("text"), width, slots)
+    rank = counts(texts.select("text"), lambda batches: (s for _, s in _sets(batches, width)), slots)
     rows = written(indexed(texts, rank, width, least), "join-indexed")
     best = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row")).alias("best")
-    first = [F.first(c).alias(c) for c in ("size", "group", "prefix", "bits")]
+    first = [F.first(c).alias(c) for c in ("size", "group", "weight", "prefix", "bits")]
     nodes = rows.where("size > 0").groupBy("digest").agg(best, F.count("*").alias("n"), *first)
     nodes = written(nodes.withColumn("node", F.col("best.row")), "join-nodes")
     slim = rows.select("row", "key", "size", "digest")
-    roots = linked(nodes.select("node", "size", "group", "prefix", "bits"), texts, width, least)
-    rooted = nodes.select("node", "digest", "best", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = written(rooted.select("digest", "root", "best", "n"), "join-rooted")
-    whole = rooted.groupBy("root").agg(F.min("best")["key"].alias("component"), F.sum("n").alias("component_size"))
-    named = written(rooted.select("digest", "root").join(whole, "root").select("digest", "component", "component_size"), "join-named")
-    forget(nodes, rooted, roots)
+    roots = linked(nodes.select("node", "size", "group", "weight", "prefix", "bits"), texts, width, least)
+    ends = written(nodes.select("node", "digest", "best", "n").join(broadcast_if_small(roots), "node"), "join-ends")
+    whole = ends.groupBy("root").agg(F.min("best")["key"].alias("component"), F.sum("n").alias("component_size"))
+    whole = written(whole, "join-components")
+    ends = ends.join(broadcast_if_small(whole), "root").select("node", "component", "component_size")
+    ends = written(ends, "join-named")
+    named = nodes.select("node", "digest", "best", "n").join(broadcast_if_small(ends), "node", "left")
+    named = written(named.select("digest", F.when(F.col("component_size").isNull(), F.col("best.key")).otherwise(F.col("component")).alias("component"), F.coalesce("component_size", "n").alias("component_size")), "join-all")
+    forget(nodes, roots, whole, ends)
     some = slim.where("size > 0").join(named, "digest").select("row", "key", "size", "component", "component_size")
     none = slim.where("size = 0").select("row", "key", "size", F.col("key").alias("component"), F.lit(1).cast("long").alias("component_size"))
     return some.union(none)
