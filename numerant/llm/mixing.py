@@ -12,16 +12,17 @@ source's slots says which block of that source it takes.
 blocks are equal numbers of words on it, and a rank beyond the last block starts over, ``repeats``
 times at most. ``blocks`` joins slots with the pieces of documents inside their block.
 
-A block grows with the corpus (5 billion words: 4,769 words), so by slots alone a source whose target is under a few
-blocks gets none or too much. ``closed`` gives each source just the slots that cover its target, in whole words: slots
-beyond are left out, missing ones come after the last slot, and the last block is taken in part. The pipeline mixes by
-the closed schedule; ``op6_mixing`` is the open one, as its SQL has it.
+A block grows with the corpus (5 billion words: 4,769 words), so by its points alone a source whose target is under a few
+blocks would get none or too much. ``closed`` gives each source just the slots that cover its target, in whole words: slots
+beyond are left out, missing ones come after the last slot, and the last block is taken in part. So a source's taken words are its
+target, rounded to a whole word, whatever the corpus and the number of slots.
 
 Everything is arithmetic of whole numbers, so reruns agree. Sums along a tape are taken in two levels
-(common.running_sum): no task holds a whole source. The number of slots is fixed, whatever the corpus.
+(common.running_sum), sums over the sources as well (common.sums_before): no task holds a whole source or all sources.
+A slot meets its source by the cell of its point, an equal part of the range of points in which a few sources lie.
 
 Defined results: a null text has no words and nothing of it is taken; null is a source, the last one;
-a source without words has target 0; rows with the same key are separate documents; an empty table
+a source without words has target 0, and if there is none with words all have; rows with the same key are separate documents; an empty table
 gives an empty result; other columns stay with the rows in ``mixed`` and are ignored elsewhere.
 """
 
@@ -30,9 +31,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, numbered, running_sum, table, text_of, written
+from ..operators.sizing import broadcast_if_small
+from .common import ROW, WORD, numbered, packed, running_sum, sums_before, table, text_of, written
 
 SLOTS = 1 << 20
+SPAN = 12  # bits of a slot inside its span, in which ranks are counted
 GOLDEN = 2654435769  # 2^32 divided by the golden ratio
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
@@ -58,40 +61,35 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     Sources are taken by capacity per weight: the first so many are full, the others share what is left
     by weight. low and high bound the source's part of the cumulative targets, as 32-bit fractions.
     """
-    by_name = Window.orderBy("no_source", "source")
     each = rows.groupBy("no_source", "source").agg(F.sum("size").alias("source_size"))
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
-    each = each.withColumn("weight", weight.cast("double"))
-    fill = Window.orderBy(F.col("source_size") * repeats / F.col("weight"), "no_source", "source")
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    all_ = Window.partitionBy()
-    total = F.sum("source_size").over(all_).cast("double")
-    left = total - repeats * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    open_weight = F.sum("weight").over(all_) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    each = each.withColumns({"level": left / open_weight, "capacity": repeats * F.col("source_size")})
+    each = sums_before(each.withColumn("one", F.lit(1).cast("long")), ["no_source", "source"], {"place": "one"})
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("place", F.lit(len(weights))) + 1).cast("int")).cast("double")
+    each = each.select("no_source", "source", "source_size", weight.alias("weight"), (F.col("source_size") * repeats).alias("capacity"))
+    each = written(each.withColumn("fill", F.col("capacity") / F.col("weight")), "mix-sources")
+    all_ = each.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("words"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight")).first()
     # The level rises while sources fill up, so the highest is the one that holds in the end.
-    full = F.max("level").over(all_)
-    each = each.withColumn("target", F.least(F.col("capacity").cast("double"), full * F.col("weight")))
-    up = Window.orderBy("no_source", "source")
-    edge = lambda frame: F.floor(F.coalesce(F.sum("target").over(frame), F.lit(0.0)) / F.sum("target").over(all_) * 2.0**32).cast("long")
-    return each.select(
-        "no_source", "source", "source_size", "target",
-        F.coalesce(edge(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("low"),
-        F.coalesce(edge(up.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("high"),
-    )
+    filled = sums_before(each, ["fill", "no_source", "source"], {"full": "capacity", "full_weight": "weight"})
+    level = (F.lit(float(all_["words"])) - F.col("full")) / (F.lit(all_["weight"]) - F.col("full_weight"))
+    full = filled.agg(F.max(level).alias("level")).first()["level"] or 0.0
+    each = each.withColumn("target", F.least(F.col("capacity").cast("double"), F.lit(full) * F.col("weight")))
+    total = each.agg(F.sum("target").alias("t")).first()["t"] or 1.0
+    # Parts as whole numbers of 40 bits: the end of one is the beginning of the next.
+    each = sums_before(each.withColumn("part", F.floor(F.col("target") / F.lit(total) * 2.0**40).cast("long")), ["no_source", "source"], {"before": "part"})
+    edge = lambda upto: F.shiftright(upto, 8)
+    return each.select("no_source", "source", "source_size", "target", edge(F.col("before")).alias("low"), edge(F.col("before") + F.col("part")).alias("high"))
 
 
 def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
     """slot, no_source, source, rank: which block of which source comes when. ``goals``: targets, written."""
     spark = goals.sparkSession
+    parts = goals.where("high > low")
+    cell = 32 - min(20, max(8, parts.count().bit_length()))  # bits of a point inside its cell
+    met = F.sequence(F.shiftright("low", cell), F.shiftright(F.col("high") - 1, cell))
+    parts = written(parts.select("low", "high", "no_source", "source", F.explode(met).alias("cell")), "mix-cells")
     point = (F.col("slot") * GOLDEN).bitwiseAND(2**32 - 1)
-    # Sources in the order of their parts, found by binary search in one array: a row per source.
-    parts = goals.where("high > low").agg(F.sort_array(F.collect_list(F.struct("low", "high", "no_source", "source"))).alias("parts"))
-    tasks = max(1, slots >> 16)
-    points = spark.range(0, slots, 1, tasks).select(F.col("id").alias("slot"), point.alias("point"), (F.col("id") / 65536).cast("long").alias("span"))
-    hit = points.join(F.broadcast(parts)).select(
-        "slot", "span", F.filter("parts", lambda p: (p["low"] <= F.col("point")) & (F.col("point") < p["high"]))[0].alias("p")
-    ).select("slot", "span", "p.no_source", "p.source").where("source is not null")
+    points = spark.range(0, slots, 1, max(1, slots >> 16)).select(F.col("id").alias("slot"), F.shiftright("id", SPAN).alias("span")).withColumn("point", point)
+    points = points.withColumn("cell", F.shiftright("point", cell))
+    hit = points.join(broadcast_if_small(parts), "cell").where("low <= point and point < high").select("slot", "span", "no_source", "source")
     inside = F.row_number().over(Window.partitionBy("no_source", "source", "span").orderBy("slot")) - 1
     spans = hit.groupBy("no_source", "source", "span").agg(F.count("*").alias("n"))
     before = Window.partitionBy("no_source", "source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,22 +104,21 @@ def closed(plan: DataFrame, goals: DataFrame, words: int, slots: int) -> DataFra
     wanted = goals.select("no_source", "source", F.ceil(F.round("target") / F.lit(words)).cast("long").alias("wanted")).where("wanted > 0")
     wanted = written(wanted.join(had, ["no_source", "source"], "left").withColumn("had", F.coalesce("had", F.lit(0))), "mix-wanted")
     kept = plan.join(wanted.drop("had"), ["no_source", "source"]).where("rank < wanted").select("slot", "no_source", "source", "rank")
-    short = wanted.where("had < wanted")
-    # One row per source, as in targets: the places after the last slot.
-    before = Window.orderBy("no_source", "source").rowsBetween(Window.unboundedPreceding, -1)
-    short = short.withColumn("place", F.lit(slots) - F.col("had") + F.coalesce(F.sum(F.col("wanted") - F.col("had")).over(before), F.lit(0)))
+    short = wanted.where("had < wanted").withColumn("missing", F.col("wanted") - F.col("had"))
+    short = sums_before(short, ["no_source", "source"], {"place": "missing"})  # after the last slot
+    short = short.withColumn("place", F.lit(slots) - F.col("had") + F.col("place"))
     added = short.withColumn("rank", F.explode(F.sequence("had", F.col("wanted") - 1)))
     return kept.union(added.select((F.col("place") + F.col("rank")).alias("slot"), "no_source", "source", "rank"))
 
 
-def blocks(tape: DataFrame, plan: DataFrame, goals: DataFrame, words: Column, repeats: int = REPEATS, whole: bool = False) -> DataFrame:
-    """row, slot, rank, first, taken: the pieces of documents that a slot takes; ``whole``: up to the target.
+def blocks(tape: DataFrame, plan: DataFrame, goals: DataFrame, words: Column, repeats: int = REPEATS) -> DataFrame:
+    """row, slot, rank, first, taken: the pieces of documents that a slot takes, up to the target.
 
     ``words`` is the number of words in a block, ``first`` the first word of the document in it. A
     document meets as many blocks as its words span, in each round of the tape: the pieces grow with the
     documents and the slots, never with their product.
     """
-    end = F.round("target").cast("long") if whole else F.col("source_size") * repeats
+    end = F.round("target").cast("long")
     sized = tape.join(goals.select("no_source", "source", "source_size", end.alias("end")), ["no_source", "source"]).where("size > 0")
     rounds = sized.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     begin = F.col("start") + F.col("round") * F.col("source_size")
@@ -134,22 +131,17 @@ def blocks(tape: DataFrame, plan: DataFrame, goals: DataFrame, words: Column, re
     return taken.where(right > left).select("row", "slot", "rank", (left - F.col("begin")).alias("first"), (right - left).alias("taken"))
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, slots: int = SLOTS, whole: bool = False) -> DataFrame:
-    """key, row, size, source_size, target, taken for every document; taken: words in all slots.
-
-    ``whole``: by the closed schedule, so that a source's taken words are its target.
-    """
+def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, slots: int = SLOTS) -> DataFrame:
+    """key, row, size, source_size, target, taken for every document; taken: words in all slots."""
     rows = written(sizes(docs, key, source, text), "mix-sizes")
     goals = written(targets(rows, weights, repeats), "mix-targets")
     total = goals.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("t")).first()["t"]
     words = max(1, -(-total // slots))
     block_words = F.lit(words)
     used = -(-total // words)  # as many blocks as hold all words: fewer than slots if words are few
-    plan = schedule(goals, used)
-    if whole:
-        plan = closed(plan, goals, words, used)
+    plan = closed(schedule(goals, used), goals, words, used)
     tape = running_sum(rows.where("size > 0"), ["no_source", "source"], ["order", "key", "size", "row"], "size", "start")
-    pieces = blocks(tape, plan, goals, block_words, repeats, whole).groupBy("row").agg(F.sum("taken").alias("taken"))
+    pieces = blocks(tape, plan, goals, block_words, repeats).groupBy("row").agg(F.sum("taken").alias("taken"))
     every = rows.join(pieces, "row", "left").join(goals, ["no_source", "source"])
     return every.select("key", "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -173,24 +165,13 @@ WITH d AS (
   FROM w WINDOW f AS (ORDER BY source_size * 3 / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), g AS (
   SELECT source, source_size, least((3 * source_size)::double, (SELECT max(level) FROM l) * weight) AS target FROM l
-), e AS (
-  SELECT *, floor(coalesce(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) / sum(target) OVER () * 4294967296.0)::bigint AS low,
-         floor(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(target) OVER () * 4294967296.0)::bigint AS high
-  FROM g
-), t AS (
-  SELECT greatest(1, ceil(sum(source_size) / 1048576.0)::bigint) AS block_words, sum(source_size)::bigint AS total FROM s
-), p AS (
-  SELECT (range * 2654435769) & 4294967295 AS point FROM range((SELECT ((total + block_words - 1) // block_words)::bigint FROM t))
-), n AS (
-  SELECT e.source, e.source_size, e.target, count(p.point) * any_value(t.block_words) AS filled
-  FROM e CROSS JOIN t LEFT JOIN p ON p.point >= e.low AND p.point < e.high GROUP BY ALL
 ), x AS (
   SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d
 )
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, filled - start)) + greatest(0, least(size, filled - start - source_size))
-        + greatest(0, least(size, filled - start - 2 * source_size)))::bigint AS taken
-FROM x JOIN n ON x.source IS NOT DISTINCT FROM n.source
+       (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - start - source_size))
+        + greatest(0, least(size, goal - start - 2 * source_size)))::bigint AS taken
+FROM x JOIN (SELECT *, round(target)::bigint AS goal FROM g) n ON x.source IS NOT DISTINCT FROM n.source
 """
 
 
@@ -200,6 +181,6 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Of a source one document at most is taken in part, so it is off its target by half a document at most.
     Documents without words are never taken.
     """
-    found = mixed(docs, whole=True).select(F.col("row").alias(ROW), F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_times"))
-    chosen = numbered(docs).join(found.where("_times > 0"), ROW)
-    return chosen.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    found = mixed(docs).select(F.col("row").alias(ROW), F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("times"))
+    chosen = packed(docs).join(found.where("times > 0"), ROW)
+    return chosen.select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time")).select("doc.*")
