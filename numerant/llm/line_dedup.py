@@ -5,14 +5,15 @@ then by their first ``LEAD`` words. Below, at a leaf, a word is part of the temp
 lines of the leaf have it there; other places are variable fields. If fewer than ``CONSTANT`` of the
 places stay, the line is too unlike the others, and its template is its own words.
 
-A template found in at least ``MIN_DOCS`` documents recurs. Its lines are dropped from every document but
+A template found in at least ``MIN_DOCS`` documents recurs, and so does a line whose own words, digits included, are those of
+a line of another document: a template without fields, whatever its length. Its lines are dropped from every document but
 the first (smallest key), so that what near copies have in common is kept once.
 
-Everything is counts: lines of leaves with fewer than MIN_DOCS lines cannot recur and are left out at once;
-equal lines meet as one row with a number; no leaf or template is collected anywhere.
+Everything is counts: lines of leaves with fewer than MIN_DOCS lines have no template with fields and leave the tree at once;
+equal lines meet as one row with a number, or as digests of 128 bits; no leaf or template is collected anywhere.
 
-Defined results: a null text is one empty line; blank lines and lines of fewer than ``MIN_WORDS`` words are kept; a
-null key comes last; a document that repeats a line counts once for its template; repeated rows are
+Defined results: a null text is one empty line; blank lines are kept; lines of fewer than ``MIN_WORDS`` words have no template but their
+own words; a null key comes last; a document that repeats a line counts once for its template; repeated rows are
 separate documents; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
-from .common import ROW, numbered, slices, table, text_of, written
+from .common import ROW, forget, numbered, slices, table, text_of, written
 
 LEAD = 3
 MIN_WORDS = 3
@@ -47,35 +48,47 @@ def masked(line: bytes) -> list[bytes]:
     return [b"<*>" if HAS_DIGIT(w) else w for w in words] if HAS_DIGIT(line) else words
 
 
-def leaf_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """n, lead, m: how many lines each leaf has; added up in each task first."""
+def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return numbered(docs.select(key, text)).select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
+
+
+def surveyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One reading of the texts: rows with n, lead, m (lines of a leaf, added up in each task) and rows with row, key, line, words (digest)."""
+    from_leaf, from_line = [pa.int32(), pa.string(), pa.int64()], [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["n", "lead", "m", "row", "key", "line", "words"]
+
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from hashlib import blake2b
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
 
         def flushed() -> pa.RecordBatch:
-            keys = list(counts)
-            made = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1].decode() for k in keys], pa.string()), pa.array(counts.values(), pa.int64())]
+            made = [[k[0] for k in counts], [k[1].decode() for k in counts], list(counts.values())]
+            arrays = [pa.array(x, t) for x, t in zip(made, from_leaf)] + [pa.nulls(len(counts), t) for t in from_line]
             counts.clear()
-            return pa.RecordBatch.from_arrays(made, names=["n", "lead", "m"])
+            return pa.RecordBatch.from_arrays(arrays, names=names)
 
         for batch in batches:
-            for t in batch.column(0):
-                for line in t.as_py().encode().split(b"\n"):
-                    words = masked(line)
-                    if len(words) >= MIN_WORDS:
-                        counts[len(words), b" ".join(words[:LEAD])] += 1
-                if len(counts) > 200_000:
-                    yield flushed()
+            for part in slices(batch, "text"):
+                rows = []
+                for row, key_, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                    for i, line in enumerate(t.as_py().encode().split(b"\n")):
+                        own = line.split()
+                        if own:
+                            rows.append((row, key_, i, blake2b(b" ".join(own), digest_size=16).digest()))
+                        if len(own) >= MIN_WORDS:
+                            counts[len(own), b" ".join(masked(line)[:LEAD])] += 1
+                    if len(counts) > 200_000:
+                        yield flushed()
+                arrays = [pa.nulls(len(rows), t) for t in from_leaf] + [pa.array([r[i] for r in rows], t) for i, t in enumerate(from_line)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
         yield flushed()
 
-    return docs.select(text_of(text)).mapInArrow(count, "n int, lead string, m long").groupBy("n", "lead").agg(F.sum("m").alias("m"))
+    return _slim(docs, key, text).mapInArrow(survey, "n int, lead string, m long, row long, key long, line int, words binary")
 
 
 def parsed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """row, key, line (its number), n, lead, masked (its words): the way of each line down the tree."""
-    slim = numbered(docs.select(key, text)).select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", "key", "line", "n", "lead", "masked"]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
@@ -89,14 +102,16 @@ def parsed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                             rows.append((row, key_, i, len(words), b" ".join(words[:LEAD]).decode(), b" ".join(words).decode()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
-    return slim.mapInArrow(parse, "row long, key long, line int, n int, lead string, masked string")
+    return _slim(docs, key, text).mapInArrow(parse, "row long, key long, line int, n int, lead string, masked string")
 
 
 def templates(busy: DataFrame, min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
     """mark (of a line's masked words), template: for the lines of busy leaves, written before."""
     lines = busy.groupBy("mark").agg(F.first("masked").alias("masked"), F.first("n").alias("n"), F.first("lead").alias("lead"), F.count("*").alias("lines"))
+    lines = written(lines, "line-distinct")
     places = lines.select("mark", "n", "lead", "lines", F.posexplode(F.split("masked", " ")).alias("at", "word"))
     common = places.groupBy("n", "lead", "at", "word").agg(F.sum("lines").alias("m")).where(F.col("m") >= min_docs)
+    common = written(common.drop("m"), "line-common")  # both sides of the join are exchanged then, so a full leaf can be split
     found = places.join(common.withColumn("stays", F.lit(True)), ["n", "lead", "at", "word"], "left")
     stays = F.col("stays").isNotNull() & (F.col("word") != ANY)
     field = F.struct("at", F.when(stays, F.col("word")).otherwise(ANY).alias("word"))
@@ -105,19 +120,28 @@ def templates(busy: DataFrame, min_docs: int = MIN_DOCS, constant: float = CONST
     return merged.select("mark", F.when(F.col("share") >= constant, F.md5(text)).otherwise(F.col("mark")).alias("template"))
 
 
+def recurring(lines: DataFrame, mark: str, least: int) -> DataFrame:
+    """row, line: the lines whose ``mark`` is in ``least`` documents or more, but for those of the first one. ``lines`` is written."""
+    once = lines.groupBy(mark, "row").agg(F.first("key").alias("key"))
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"].alias("first_row")
+    found = once.groupBy(mark).agg(F.count("*").alias("docs"), first).where(F.col("docs") >= least)
+    found = written(found.select(mark, "first_row"), "line-recurring")  # both sides are exchanged then, so a frequent mark's lines can be split
+    return lines.join(found, mark).where("row != first_row").select("row", "line")
+
+
 def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
     """row, line: the lines to drop."""
-    leaves = written(leaf_counts(docs, text).where(F.col("m") >= min_docs).select("n", "lead"), "line-leaves")
+    seen = written(surveyed(docs, key, text), "line-survey")
+    equal = written(recurring(seen.where("n is null").select("row", "key", "line", "words"), "words", 2), "line-equal")
+    leaves = written(seen.where("n is not null").groupBy("n", "lead").agg(F.sum("m").alias("m")).where(F.col("m") >= min_docs).select("n", "lead"), "line-leaves")
+    forget(seen)
     busy = parsed(docs, key, text).join(broadcast_if_small(leaves), ["n", "lead"])
     busy = written(busy.withColumn("mark", F.md5("masked")), "line-busy")
     of_line = written(templates(busy, min_docs, constant), "line-templates")
     slim = busy.select("row", "key", "line", "mark").join(of_line, "mark").select("row", "key", "line", "template")
     slim = written(slim, "line-marked")
-    once = slim.groupBy("template", "row").agg(F.first("key").alias("key"))
-    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"].alias("first_row")
-    recurring = once.groupBy("template").agg(F.count("*").alias("docs"), first).where(F.col("docs") >= min_docs)
-    recurring = written(recurring.select("template", "first_row"), "line-recurring")  # both sides are exchanged then, so a frequent template's lines can be split
-    return slim.join(recurring, "template").where("row != first_row").select("row", "line")
+    forget(busy, of_line, leaves)
+    return equal.union(recurring(slim, "template", min_docs)).distinct()
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
@@ -125,10 +149,11 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_d
     gone = dropped(docs, key, text, min_docs, constant).groupBy("row").agg(F.collect_list("line").alias("gone"))
     gone = written(gone, "line-dropped").withColumnRenamed("row", ROW)
     base = numbered(docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))).join(gone.hint("shuffle_merge"), ROW, "left")
-    kept = F.filter(lines_of(F.col("text")), lambda x, i: ~F.array_contains("gone", i))
-    whole = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", kept))
+    base = base.withColumn("lines", lines_of(F.col("text")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.concat_ws("\n", F.transform(stay, lambda i: F.get("lines", i)))
     return base.select(
-        "key", whole.alias("text"), F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"),
+        "key", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
@@ -161,8 +186,13 @@ WITH l AS (
   SELECT b.doc_id, b.line_no, t.template FROM b JOIN t ON b.words = t.words
 ), r AS (
   SELECT template, min(doc_id) AS first_doc FROM m GROUP BY template HAVING count(DISTINCT doc_id) >= 3
+), o AS (
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS own FROM l
+), q AS (
+  SELECT own, min(doc_id) AS first_doc FROM o WHERE len(own) > 0 GROUP BY own HAVING count(DISTINCT doc_id) >= 2
 ), g AS (
   SELECT m.doc_id, m.line_no FROM m JOIN r ON m.template = r.template WHERE m.doc_id <> r.first_doc
+  UNION SELECT o.doc_id, o.line_no FROM o JOIN q ON o.own = q.own WHERE o.doc_id <> q.first_doc
 ), k AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped,
          coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '') AS kept
