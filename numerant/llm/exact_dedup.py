@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, fold, numbered, table, text_of, written
+from .common import ROW, fold, numbered, packed, table, text_of, written
 
 PART_KEYS = 200_000  # digests in one part of the index: about 15 MB
 MOST_LEVELS = 64
@@ -157,7 +157,7 @@ def _part(parts: int) -> Column:
 
 
 def build(history: DataFrame, rows: int) -> tuple[DataFrame, int]:
-    """The index of keyed rows, and its number of parts; ``rows`` bounds their number."""
+    """The index of keyed rows, and its number of parts; ``rows`` bounds the number of keys on either side."""
     parts = max(1, -(-rows // PART_KEYS))
     grouped = _groups(history).withColumn("part", _part(parts))
     return written(grouped.groupBy("part").applyInArrow(_build_part, _INDEX), "digest-index"), parts
@@ -176,7 +176,8 @@ def exact_groups(docs: DataFrame, historical: Column, key: str = "doc_id", text:
     """
     base = docs.select(key, text)
     rows = written(keyed(base, key, text).withColumn("historical", F.coalesce(historical, F.lit(False))), "digests")
-    n = rows.where("historical").count()
+    # A part holds digests of both sides in one task, so the larger side sets their number.
+    n = rows.groupBy("historical").count().agg(F.max("count").alias("n")).first()["n"] or 0
     index, parts = build(rows.where("historical"), n)
     found = dedup(rows.where("not historical"), index, parts)
     return rows.join(found, "digest").withColumn("kept", F.col("row") == F.col("keep_row"))
@@ -213,4 +214,4 @@ FROM d
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeats: of each group the row that stays."""
     keep = exact_groups(docs, in_history(F.col("key"))).where("kept").select(F.col("row").alias(ROW))
-    return numbered(docs).join(keep, ROW, "left_semi").drop(ROW)
+    return packed(docs).join(keep, ROW, "left_semi").select("doc.*")

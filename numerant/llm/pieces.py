@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settled, slices, table, text_of
+from .common import fresh, settled, slices, table, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -396,16 +396,17 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: i
     vocab = vocab or vocabulary()
     docs = docs.drop(*ADDED)
     fields = docs.schema.fields
+    text_, key_ = fresh(docs, "text_read", "key_read")
     schema = T.StructType([*fields, *T._parse_datatype_string("sample int, ids array<int>, log_probability double, inclusion double, round_trip boolean").fields])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
-                texts = part.column(part.schema.get_field_index("_text")).to_pylist()
+            for part in slices(batch, text_, 1 << 20):
+                texts = part.column(part.schema.get_field_index(text_)).to_pylist()
                 known: dict[str, int] = {}
                 numbers = [[known.setdefault(w, len(known)) for w in words_of(t)] for t in texts]
                 lattice = Lattice(list(known), vocab)
-                keys = part.column(part.schema.get_field_index("_key")).to_numpy(zero_copy_only=False)
+                keys = part.column(part.schema.get_field_index(key_)).to_numpy(zero_copy_only=False)
                 rows, values, ids = [], [], []
                 for i, found in enumerate(sample(numbers, keys, lattice, samples)):
                     for j, (edges, log, chance) in enumerate(found):
@@ -423,7 +424,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: i
                 yield pa.RecordBatch.from_arrays([*kept.columns, *added], names=[*kept.schema.names, *ADDED])
 
     mark = F.xxhash64(F.lit(seed), F.col(key).cast("string"))
-    return docs.withColumns({"_text": text_of(text), "_key": mark}).mapInArrow(encode, schema)
+    return docs.withColumns({text_: text_of(text), key_: mark}).mapInArrow(encode, schema)
 
 
 def decoded(rows: DataFrame, ids: str = "ids", text: str = "text", vocab: Vocabulary | None = None) -> DataFrame:

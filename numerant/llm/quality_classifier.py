@@ -14,7 +14,7 @@ or key enters a score.
 
 Defined results: a null or empty text has the difference of an average text and so the score of one;
 rows of unknown label, or labelled twice with different labels, count as they are labelled; without
-any label of a class there is nothing to fit, which raises; an empty table gives an empty result;
+any label of a class every text gets the share of label 1 (one half without labels); an empty table gives an empty result;
 repeated rows score alike; other columns are ignored.
 """
 
@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, fold, numbered, table, text_of
+from .common import ROW, fold, numbered, packed, table, text_of
 
 PSEUDO = 48
 BLOCK = 16_384
@@ -115,22 +115,23 @@ def fit(
     """The classifier of the labelled rows. ``labels`` has the key and the label, 0 or 1."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1)")
     share = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
-    if len(share) < 2:
-        raise ValueError("labels of both classes are needed")
+    if len(share) < 2:  # nothing to tell apart: every text gets the share of label 1, one half without labels
+        return CompressionClassifier(b"", b"", level, 0.0, 0.0, float(np.log((share.get(1, 0) + 0.5) / (share.get(0, 0) + 0.5))))
     spread = F.xxhash64(F.col("_key"), F.lit("quality"))
     most = dictionary_rows + calibration_rows
     chosen = [known.where(F.col("_label") == c).orderBy(spread, "_key").limit(most) for c in (0, 1)]
     chosen = chosen[0].union(chosen[1])  # at most 2 * most rows of two numbers: safe to broadcast
     texts = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text")).where(F.length("_text") <= longest)
     rows = texts.join(F.broadcast(chosen), "_key")
+    few = lambda r: [r.where(F.col("_label") == c).orderBy(spread, "_key", F.xxhash64("_text")).limit(most) for c in (0, 1)]  # noqa: E731 (a key may repeat)
     # By share, so that a class of few labels serves both.
     cut = dictionary_rows / most
     part = F.pmod(F.xxhash64(F.col("_key"), F.lit("part")), F.lit(10_000)) < F.lit(int(10_000 * cut))
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in rows.where(part).select("_label", "_text", "_key").orderBy("_label", spread, "_key").collect():
+    for r in (r for each in few(rows.where(part)) for r in each.collect()):
         samples[r["_label"]].append(r["_text"].encode())
     good, bad = _dictionary(samples[1], dictionary_bytes), _dictionary(samples[0], dictionary_bytes)
-    measured = differences(rows.where(~part), good, bad, level, 0.0, "_text").select("_label", "difference").toPandas()
+    measured = differences(few(rows.where(~part))[0].union(few(rows.where(~part))[1]), good, bad, level, 0.0, "_text").select("_label", "difference").toPandas()
     x, y = measured["difference"].to_numpy(), measured["_label"].to_numpy().astype(float)
     if not len(x) or y.min() == y.max():
         return CompressionClassifier(good, bad, level, 0.0, 0.0, float(np.log(share[1] / share[0])))
@@ -143,6 +144,7 @@ def fit(
 
 def score(docs: DataFrame, model: CompressionClassifier, text: str = "text") -> DataFrame:
     """``docs`` without the text, with ``difference`` and ``score``, the probability of label 1."""
+    docs = docs.drop("difference", "score")
     found = differences(docs.withColumn(text, text_of(text)), model.good, model.bad, model.level, model.mean, text)
     return found.withColumn("score", model.probability(F.col("difference")))
 
@@ -163,6 +165,6 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that the classifier rejects."""
-    slim = numbered(docs).select(ROW, "doc_id", "text")
+    slim = numbered(docs.select("doc_id", "text"))
     scored = score(slim, _trained(docs, spark, sf_dir))
-    return numbered(docs).join(scored.where("score >= 0.3").select(ROW), ROW, "left_semi").drop(ROW)
+    return packed(docs).join(scored.where("score >= 0.3").select(ROW), ROW, "left_semi").select("doc.*")

@@ -8,7 +8,7 @@ most). A record's slot is its place in its shard.
 
 The files of the buckets are the output; whoever needs shards as files writes ``shuffled`` partitioned
 by shard. A bucket holds about ``bucket_bytes`` of text, so a task's memory does not grow with the input.
-Only rows that repeat with key and text have to meet in one bucket.
+Rows that repeat with key and text go to one bucket while they fill a quarter of it at most, and else to all buckets by row number.
 
 Defined results: a null text has size 1, as the empty text, and the checksum of the empty text; a null
 key is a key; repeated rows are separate records with slots of their own; with fewer records than
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_of, written
+from ..operators.sizing import broadcast_if_small
+from .common import fresh, settled, table, text_of, written
 
 ADDED = ("bucket", "position")
 BUCKET_BYTES = 32 << 20
@@ -39,11 +40,19 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
 
 def shuffled(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The records in shuffled order, written: ``docs`` with bucket, and position in the bucket."""
+    settled(docs.sparkSession)
     docs = docs.drop(*ADDED)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of(text)) + 64), F.lit(0)).alias("n")).first()["n"]
     buckets = max(1, -(-size // bucket_bytes))
+    mark_, many = fresh(docs, "mark", "many")
     mark = F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text))
-    scattered = docs.withColumn("_mark", mark).withColumn("bucket", F.pmod(F.col("_mark"), F.lit(buckets)).cast("int"))
+    # Rows that repeat with key and text so often that they would fill a bucket are dealt over all of them.
+    sized = docs.select(mark.alias(mark_), (F.octet_length(text_of(text)) + 64).alias("size"))
+    full = sized.groupBy(mark_).agg(F.count("*").alias("n"), F.sum("size").alias("size")).where((F.col("size") > bucket_bytes // 4) & (F.col("n") > 1))
+    full = written(full.select(mark_, F.lit(True).alias(many)), "sharding-full")
+    scattered = docs.withColumn(mark_, mark).join(broadcast_if_small(full), mark_, "left")
+    place = F.when(F.col(many), F.xxhash64(F.col(mark_), F.monotonically_increasing_id())).otherwise(F.col(mark_))
+    scattered = scattered.withColumn("bucket", F.pmod(place, F.lit(buckets)).cast("int"))
     scattered = scattered.repartitionById(buckets, F.col("bucket"))  # a partition for each bucket
     schema = T.StructType([*docs.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("position", T.LongType())])
 
@@ -54,30 +63,30 @@ def shuffled(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int
         held = pa.Table.from_batches(batches)
         names = held.schema.names
         keys = np.array([str(k) for k in held.column(key).to_pylist()])
-        fixed = np.lexsort((keys, held.column("_mark").to_numpy()))  # whatever order the exchange delivered
+        fixed = np.lexsort((keys, held.column(mark_).to_numpy()))  # whatever order the exchange delivered
         order = fixed[fisher_yates(len(fixed), [seed, held.column("bucket")[0].as_py()])]
         for start in range(0, len(order), 2_000):
             part = held.take(pa.array(order[start : start + 2_000]))
-            columns = [part.column(c) for c in names if c != "_mark"]
+            columns = [part.column(c) for c in names if c != mark_]
             place = pa.array(np.arange(start, start + part.num_rows))
-            out = pa.table([*columns, place], names=[c for c in names if c != "_mark"] + ["position"])
+            out = pa.table([*columns, place], names=[c for c in names if c != mark_] + ["position"])
             yield from out.combine_chunks().to_batches()
 
-    columns = [*docs.columns, "bucket", "_mark"]
+    columns = [*docs.columns, "bucket", mark_]
     return written(scattered.select(*columns).mapInArrow(shuffle, schema), "shuffled")
 
 
 def sharded(records: DataFrame, shards: int = 16) -> DataFrame:
     """``records`` (of ``shuffled``) with shard and slot, by law ``rows``."""
-    counts = records.groupBy("bucket").agg(F.count("*").alias("_n"))
+    counts = records.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    start, all_, at = fresh(records, "start", "all", "at")
+    starts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start), F.sum("n").over(Window.partitionBy()).alias(all_))
     # A row per bucket of bucket_bytes: about a millionth of the input, and checked by Spark's threshold.
-    place = F.col("_start") + F.col("position")
-    out = records.join(starts, "bucket").withColumn("_place", place)
-    shard = F.expr(f"cast(_place * {shards} div _all as int)")
-    first = F.expr(f"(shard * _all + {shards - 1}) div {shards}")
-    return out.withColumn("shard", shard).withColumn("slot", F.col("_place") - first).drop("_place", "_start", "_all")
+    out = records.drop("shard", "slot").join(starts, "bucket").withColumn(at, F.col(start) + F.col("position"))
+    shard = F.expr(f"cast(`{at}` * {shards} div `{all_}` as int)")
+    first = F.expr(f"(shard * `{all_}` + {shards - 1}) div {shards}")
+    return out.withColumn("shard", shard).withColumn("slot", F.col(at) - first).drop(at, start, all_)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

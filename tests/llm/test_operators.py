@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from numerant.llm import context_tree, exact_dedup, line_dedup, mixing, near_dedup, pieces, quality_classifier, quality_rules, secret_scan, sharding
+from numerant.llm import context_tree, exact_dedup, line_dedup, linking, mixing, near_dedup, pieces, quality_classifier, quality_rules, secret_scan, sharding
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, bucket string, row string"
 WORDS = "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were all".split()
@@ -203,12 +203,31 @@ def test_alignment_is_the_definition():
             assert near_dedup.aligned(h(a), h(b)) == (brute_similarity(a, b) >= 0.8 - 1e-12), (a, b)
 
 
-def test_shared_counts():
-    rng = np.random.default_rng(1)
-    sets = [rng.choice(60, 20, replace=False).astype(np.uint64) for _ in range(9)]
-    got = near_dedup.shared_counts(sets, block=7)
-    for i, j in itertools.combinations(range(9), 2):
-        assert got[i, j] == len(set(sets[i].tolist()) & set(sets[j].tolist()))
+def test_alignment_of_long_and_repeating_texts(monkeypatch):
+    """Against the plain dynamic programme on repeating shingles, and in bounded memory on 200,000 words."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    for often in (1024, 2):
+        monkeypatch.setattr(near_dedup, "OFTEN", often)
+        for i in range(200):
+            a = rng.choice([1, 2, 3, 4, 5, 6], int(rng.integers(1, 60)), p=[0.5, 0.3, 0.1, 0.05, 0.03, 0.02]).astype(np.uint64)
+            b = a.copy()
+            b[rng.integers(0, len(a), int(rng.integers(0, 6)))] = 9
+            b = np.delete(b, rng.integers(0, len(b), int(rng.integers(0, 3))))
+            row = [0] * (len(b) + 1)
+            for s in a.tolist():
+                last = 0
+                for j, t in enumerate(b.tolist(), 1):
+                    last, row[j] = row[j], last + 1 if s == t else max(row[j], row[j - 1])
+            assert near_dedup.aligned(a, b) == (10 * row[-1] >= 8 * (len(a) + len(b) - row[-1]))
+    a = rng.integers(0, 1 << 60, 200_000).astype(np.uint64)
+    b = a.copy()
+    b[:: 10] = 1
+    tracemalloc.start()
+    assert near_dedup.aligned(a, b) and not near_dedup.aligned(a, np.where(np.arange(len(a)) % 8, a, 1).astype(np.uint64))
+    assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    tracemalloc.stop()
 
 
 def brute_classes(docs: dict) -> dict:
@@ -229,7 +248,7 @@ def brute_classes(docs: dict) -> dict:
     return {k: root(k) for k in docs}
 
 
-@pytest.mark.parametrize("rest", [1024, 1])
+@pytest.mark.parametrize("rest", [64, 1])
 def test_near_classes_are_those_of_brute_force(spark, tmp_path, monkeypatch, rest):
     monkeypatch.setattr(near_dedup, "REST", rest)
     rows, n = [], 0
@@ -247,10 +266,12 @@ def test_near_classes_are_those_of_brute_force(spark, tmp_path, monkeypatch, res
     assert collections.Counter(r.class_id for r in found) == {r.class_id: r.class_size for r in found}
 
 
-@pytest.mark.parametrize("rest", [1024, 6])
-def test_near_chains_inside_full_buckets(spark, tmp_path, monkeypatch, rest):
-    """C is like B alone, and B is like A, which leads the buckets that B and C share."""
+@pytest.mark.parametrize("rest,block", [(64, 1024), (6, 5)])
+def test_near_chains_inside_full_buckets(spark, tmp_path, monkeypatch, rest, block):
+    """C is like B alone, and B is like A, which leads the buckets that B and C share; with small blocks they meet by their prefixes."""
     monkeypatch.setattr(near_dedup, "REST", rest)
+    monkeypatch.setattr(linking, "BLOCK", block)
+    monkeypatch.setattr(linking, "SMALL", min(block, 3) if block < 32 else 32)
     rng = np.random.default_rng(11)
     rows, chains = [], []
     word = lambda: f"w{rng.integers(1 << 40)}"
@@ -293,7 +314,7 @@ def test_near_classes_on_awkward_rows(awkward, empty):
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2)) if a != b] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 560)]
-    got = {r.node: r.root for r in near_dedup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    got = {r.node: r.root for r in linking.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     parent = {x: x for e in edges for x in e}
     for _ in range(100):
         for a, b in edges:
@@ -429,8 +450,9 @@ def test_classifier_on_awkward_rows(spark, awkward, empty):
     assert len(found) == 17 and all(0 <= r.score <= 1 for r in found)
     assert len({r.score for r in found if r.doc_id in (4, 5)}) == 1
     assert quality_classifier.score(empty, model).collect() == []
-    with pytest.raises(ValueError):
-        quality_classifier.fit(awkward, labels.where("quality = 1"))
+    for some, low, high in ((labels.where("quality = 1"), 0.5, 1), (labels.where("quality = 0"), 0, 0.5), (labels.limit(0), 0.5, 0.5)):
+        scores = {r.score for r in quality_classifier.score(awkward, quality_classifier.fit(awkward, some)).collect()}
+        assert len(scores) == 1 and low <= scores.pop() <= high
 
 
 # --- 6: mixing
@@ -473,12 +495,17 @@ def test_mix_by_replaying_the_schedule(spark, tmp_path):
     tape = {s: [d for _, d in sorted((hashlib.md5(f"mix-{d}".encode()).hexdigest(), d) for d in size if of[d] == s) for _ in range(size[d])] for s in names}
     total = sum(totals.values())
     block = -(-total // 500)
-    edges = np.floor(np.cumsum([0.0] + [target[s] for s in names]) / sum(target.values()) * 2.0**32)
-    rank, taken = collections.Counter(), collections.Counter()
-    for slot in range(-(-total // block)):
-        s = names[int(np.searchsorted(edges, slot * mixing.GOLDEN % 2**32, side="right")) - 1]
+    used = -(-total // block)
+    edges = np.cumsum([0] + [int(target[s] / sum(target.values()) * 2.0**40) for s in names]) >> 8
+    order, rank, taken = [], collections.Counter(), collections.Counter()
+    for slot in range(used):
+        at = int(np.searchsorted(edges, slot * mixing.GOLDEN % 2**32, side="right")) - 1
+        order += [names[at]] if at < len(names) else []
+    plan = mixing.schedule(mixing.written(mixing.targets(mixing.sizes(docs)), "test"), used).collect()
+    assert [None if r.no_source else r.source for r in sorted(plan, key=lambda r: r.slot)] == order
+    for s in order + [s for s in names for _ in range(used)]:  # the slots, and then those that targets lack
         for x in range(rank[s] * block, (rank[s] + 1) * block):
-            if x < 3 * totals[s]:
+            if x < math.floor(target[s] + 0.5):
                 taken[tape[s][x % totals[s]]] += 1
         rank[s] += 1
     assert {i: r.taken for i, r in got.items()} == {i: taken[i] for i in size}
@@ -493,7 +520,7 @@ def test_closed_schedule_covers_every_target(spark, tmp_path, slots):
     rows += [(1000 + i, prose(i, 3 + i % 20), f"s{i // 2}") for i in range(80)] + [(2000, None, "none"), (2001, "a b c", None)]
     spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
-    got = mixing.mixed(docs, slots=slots, whole=True).collect()
+    got = mixing.mixed(docs, slots=slots).collect()
     of = {i: s for i, _, s in rows}
     totals, taken = collections.Counter(), collections.Counter()
     for r in got:
@@ -529,6 +556,25 @@ def test_mix_on_awkward_rows(spark, awkward, empty):
     assert mixing.mixing_stage(spark, empty, "").collect() == []
 
 
+def test_mix_of_blank_texts(spark, tmp_path):
+    spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, " \n", None)], "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert {(r.key, r.size, r.target, r.taken) for r in mixing.mixed(docs).collect()} == {(i, 0, 0.0, 0) for i in (1, 2, 3)}
+    assert mixing.mixing_stage(spark, docs, "").collect() == []
+
+
+def test_mix_of_many_sources(spark, tmp_path):
+    """More sources than cells, a hundred of a word or two, at few slots."""
+    rows = [(i, prose(i, 1 + i % 2), f"t{i:03}") for i in range(100)] + [(1000 + i, prose(i, 200), f"u{i:03}") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "d"))
+    got = mixing.mixed(spark.read.parquet(str(tmp_path / "d")), slots=50).collect()
+    totals = collections.Counter()
+    for i, t, s in rows:
+        totals[s] += len(t.split())
+    wanted = brute_targets(totals)
+    assert all(r.taken == pytest.approx(wanted[rows[r.key][2] if r.key < 1000 else rows[100 + r.key - 1000][2]], abs=0.5) for r in got)
+
+
 def test_mixing_stage_on_awkward_rows(spark, awkward):
     found = mixing.mixing_stage(spark, awkward, "").collect()
     assert found and all((r.text or "").split() for r in found) and found[0].asDict().keys() == set(awkward.columns)
@@ -552,6 +598,17 @@ def test_shards(awkward, documents, empty, bucket_bytes):
     assert sharding.sharded(sharding.shuffled(empty)).collect() == []
 
 
+def test_repeated_rows_do_not_fill_a_bucket(spark, tmp_path):
+    rows = [(None, None)] * 3000 + [(1, "same text " * 20)] * 2000 + [(i, prose(i, 5)) for i in range(1000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    records = sharding.shuffled(docs, bucket_bytes=40_000)
+    sizes = [r["count"] for r in records.groupBy("bucket").count().collect()]
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
+    counts = collections.Counter(r.shard for r in sharding.sharded(records).collect())
+    assert sum(counts.values()) == 6000 and max(counts.values()) - min(counts.values()) <= 1
+
+
 def test_shuffled_order_is_the_definition(documents):
     found = sharding.shuffled(documents, bucket_bytes=100_000).collect()
     marks = {r.doc_id: r.m for r in documents.select("doc_id", F.xxhash64(F.lit(0), F.col("doc_id").cast("string"), F.col("text")).alias("m")).collect()}
@@ -573,10 +630,18 @@ def test_line_templates(spark, tmp_path):
     assert got[0].text == rows[0][1] and got[0].n_dropped == 0
     for i in range(1, 5):
         a = rows[i][1].split("\n")
-        assert got[i].text == "\n".join([a[0], a[3], a[4]]) and got[i].n_dropped == 2 and got[i].n_lines == 5
+        assert got[i].text == "\n".join([a[0], a[4]]) and got[i].n_dropped == 3 and got[i].n_lines == 5
     assert got[7].text == "" and got[8].text == "some other line here" and got[9].text == got[10].text == "" and got[None].text == "last"
 
 
+def test_equal_lines_recur_from_the_second_document_on(spark, tmp_path):
+    passage = prose(9, 50)
+    rows = [(1, f"{prose(90, 9)}\n{passage}\nok then"), (2, passage.replace(" ", "  ") + "\nalone\n\n\nx"), (3, "ok then\nok then\n 1 2 3"), (4, "1 2 3\n1 2 4\nx\n"), (5, "1 2 4 5")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2).write.parquet(str(tmp_path / "d"))
+    got = {r.key: (r.text, r.n_dropped) for r in line_dedup.deduplicated(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("alone\n\n\nx", 1), 3: (" 1 2 3", 2), 4: ("1 2 4\n", 2), 5: ("1 2 4 5", 0)}
+
+
 def test_lines_on_awkward_rows(awkward, empty):
     found = line_dedup.deduplicated(awkward).collect()
     assert len(found) == 17 and {r.key: r.n_dropped for r in found}[14] == 0
