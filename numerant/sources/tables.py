@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import missing_to_null, quoted
 from ..session import exists, remove_path, spread
+from .records import opens, read_records
 
 log = logging.getLogger(__name__)
 
@@ -64,7 +65,7 @@ def _typed_csv(raw: DataFrame, schema: T.StructType | None, bad_cells: str = "ra
 
 def _breaks_in_cells(spark: SparkSession, path: str) -> bool:
     """Whether a line ends inside quotes: some cell then holds a line break."""
-    return not spark.read.text(path).where(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+    return not spark.read.text(path, lineSep="\n").where(opens(F.col("value"))).isEmpty()
 
 
 def read_table(
@@ -72,13 +73,13 @@ def read_table(
 ) -> DataFrame:
     """A CSV file or folder with a header, or Parquet. Missing values come out as NULL.
 
-    ``multiline``: cells hold line breaks; such a CSV file is read by one task. If not given, the lines are
-    looked through for it first.
+    ``multiline``: cells hold line breaks; the lines are then put together to records first (see ``records``), by as many tasks as
+    read the file otherwise. If not given, the lines are looked through for it.
     """
     try:
         if _format_of(path) == "csv":
             whole = _breaks_in_cells(spark, path) if multiline is None else multiline
-            raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=whole)
+            raw = read_records(spark, path) if whole else spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
             return _typed_csv(raw, schema, bad_cells)
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return missing_to_null(reader.parquet(path))
