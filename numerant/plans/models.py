@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from .gram import Penalty
 
 log = logging.getLogger(__name__)
 
@@ -131,6 +132,18 @@ def _elastic_net(params: dict[str, Any], stats: LabelStats):
     return _linear(total, alpha * l1 / total if total else 0.0, params)
 
 
+def _ridge_penalty(params: dict[str, Any]) -> Penalty:
+    return Penalty(l2=float(params.get("alpha", 1.0)), intercept=bool(params.get("fit_intercept", True)))
+
+
+def _elastic_net_penalty(params: dict[str, Any]) -> Penalty:
+    alpha, l1 = float(params.get("alpha", 1.0)), float(params.get("l1_ratio", 0.5))
+    return Penalty(alpha * l1, alpha * (1 - l1), True, bool(params.get("fit_intercept", True)), int(params.get("max_iter", 10_000)))
+
+
+#: Builders whose models come from Gram matrices when many are fitted to parts of the same rows.
+PENALTIES: dict[Builder, Callable[[dict[str, Any]], Penalty]] = {_ridge: _ridge_penalty, _elastic_net: _elastic_net_penalty}
+
 # Configured (module, class) names and the default parameters they stand for.
 REGISTRY: dict[tuple[str, str], Builder] = {
     ("sklearn.ensemble", "RandomForestRegressor"): _random_forest,

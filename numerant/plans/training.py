@@ -21,7 +21,8 @@ from ..operators.stats import columns_by_missing
 from ..session import cached
 from ..sources.runs import RunLog
 from ..sources.tables import ROW_ID, load_processed_data
-from .models import LABEL, PREDICTION, as_pipeline, assemble, fit_regressor, label_stats_without, load_model_class, predict
+from .gram import Grams, fold_grams, fold_scores
+from .models import LABEL, PENALTIES, PREDICTION, VECTOR, as_pipeline, assemble, fit_regressor, label_stats_without, load_model_class, predict
 
 log = logging.getLogger(__name__)
 
@@ -38,17 +39,21 @@ SCORINGS: dict[str, tuple[str, float]] = {
 
 def cross_validate(
     builder, params: Mapping[str, Any], folded: DataFrame, folds: int,
-    scoring: str = "neg_root_mean_squared_error", parallelism: int = 2,
+    scoring: str = "neg_root_mean_squared_error", parallelism: int = 2, grams: Grams | None = None,
 ) -> DataFrame:
-    """(fold, score) of a regressor on assembled rows with a fold column.
+    """(fold, score) of a regressor on assembled rows with a fold column. Errors ('neg_' names) come out positive.
 
-    Every fit is a distributed job; ``parallelism`` of them are in flight at a time. Errors
-    ('neg_' names) come out positive.
+    Ridge and elastic net take one scan for all folds (``gram``), and none if the matrices of the rows are given. Other fits are distributed jobs;
+    ``parallelism`` of them are in flight at a time.
     """
     if scoring not in SCORINGS:
         raise ValueError(f"unknown scoring '{scoring}', only {sorted(SCORINGS)}")
     metric, factor = SCORINGS[scoring]
     spark = folded.sparkSession
+    if builder in PENALTIES:
+        grams = grams or fold_grams(folded, VECTOR, LABEL, FOLD)
+        found = fold_scores(folded, grams, [PENALTIES[builder](dict(params))], metric, VECTOR, LABEL, FOLD)[0]
+        return spark.createDataFrame([(f, s * factor) for f, s in sorted(found.items())], "fold int, score double")
     stats = label_stats_without(folded, FOLD)
 
     def score(fold: int) -> tuple[int, float]:
@@ -82,6 +87,7 @@ class ModelTrainer:
         self.order_by = list(order_by or validation.get("order_by") or [])
         self.parallelism = parallelism
         self.passthrough = [ROW_ID, *self.order_by]
+        self._grams: tuple[DataFrame | None, Grams | None] = (None, None)  # of the rows that were folded last
         self.models_: dict[str, PipelineModel] = {}
         self.metrics_: dict[str, dict] = {}
 
@@ -119,7 +125,10 @@ class ModelTrainer:
             log.error("model '%s' skipped: %s", name, e)
             return None
         params = dict(spec.get("params") or {})
-        scores = cross_validate(builder, params, folded, self.folds, self.scoring, self.parallelism)
+        if builder in PENALTIES and self._grams[0] is not folded:
+            self._grams = (folded, fold_grams(folded, VECTOR, LABEL, FOLD))
+        grams = self._grams[1] if builder in PENALTIES else None
+        scores = cross_validate(builder, params, folded, self.folds, self.scoring, self.parallelism, grams)
         cv = as_dict(cv_summary(scores))
         features = self.features(train)
         model = as_pipeline(fit_regressor(builder, params, folded.drop(FOLD)), features)
