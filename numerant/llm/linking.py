@@ -132,6 +132,26 @@ def led(rows: DataFrame) -> DataFrame:
     return each.mapInArrow(lead, ", ".join(f"{c} long" for c in [*names, "leader", "l_size", "l_pos"]))
 
 
+def led_again(open_: DataFrame, linked: DataFrame, rest: int) -> DataFrame | None:
+    """``led`` for what is unlike its leader in buckets that keep more than ``rest`` such nodes; written, None if there are none.
+
+    ``open_``: of ``led``; ``linked``: a (the leader), b. Both written. Only rows of buckets that are large enough are looked at.
+    """
+    count = lambda df, least: df.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > least).select("bucket")
+    large = written(count(open_, rest + 1), "led-large")
+    left = many = None
+    if not large.isEmpty():
+        unlike = open_.where("node != leader").join(broadcast_if_small(large), "bucket", "left_semi")
+        done = linked.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+        unlike = unlike.join(broadcast_if_small(done), ["leader", "node"], "left_anti")
+        many = written(count(unlike, rest), "led-many")
+        if not many.isEmpty():
+            left = written(led(unlike.join(broadcast_if_small(many), "bucket", "left_semi")), "led-again")
+        forget(many)
+    forget(large)
+    return left
+
+
 def _bits(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from .common import ROW, SPACE, forget, numbered, packed, table, text_of, written
-from .linking import alike, components, counts, crossed, led, mixed, parity, prefix_of, resolved, thinned, weight_of
+from .linking import alike, components, counts, crossed, led, led_again, mixed, parity, prefix_of, resolved, thinned, weight_of
 
 WORDS = 5
 BANDS = 20
@@ -243,20 +243,13 @@ def links(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     open_ = all_ = written(led(_buckets(nodes)), "near-open")
     found, gone = nodes.sparkSession.createDataFrame([], "a long, b long"), []
     for i in range(ROUNDS):
-        followers = open_.where("node != leader")
-        pairs = written(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+        pairs = written(open_.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
         likely = alike(pairs, nodes, LEAST)
         ok = compared(likely.select("a", "b"), docs, text)
         gone += [ok, open_]
         found = found.union(ok)
-        rest = followers.join(broadcast_if_small(ok.select(F.col("a").alias("leader"), F.col("b").alias("node"))), ["leader", "node"], "left_anti")
-        many = written(rest.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > REST).select("bucket"), "near-many")
         forget(pairs, likely)
-        last = i + 1 == ROUNDS or many.isEmpty()
-        if not last:
-            open_ = written(led(rest.join(broadcast_if_small(many), "bucket", "left_semi")), "near-rest")
-        forget(many)
-        if last:
+        if i + 1 == ROUNDS or (open_ := led_again(open_, ok, REST)) is None:
             break
     roots = components(found)
     rows = all_.select("bucket", "node", "size", "pos").join(broadcast_if_small(roots), "node", "left")

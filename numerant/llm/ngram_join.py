@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from .common import ROW, forget, numbered, slices, table, text_of, written
-from .linking import SLOTS, alike, components, counts, crossed, led, mixed, needed, parity, prefix_of, resolved, weight_of
+from .linking import SLOTS, alike, components, counts, crossed, led, led_again, mixed, needed, parity, prefix_of, resolved, weight_of
 
 WIDTH = 4
 LEAST = (85, 100)
@@ -177,15 +177,8 @@ def linked(nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: tuple[
         ok = verified(likely.select("a", "b"), texts, width, least)
         gone += [ok, open_]
         found = found.union(ok)
-        # What is linked to its leader is done for now; the rest of a bucket may get another leader if it is large.
-        rest = open_.where("node != leader").join(broadcast_if_small(ok.select(F.col("a").alias("leader"), F.col("b").alias("node"))), ["leader", "node"], "left_anti")
-        many = written(rest.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > REST).select("bucket"), "join-many")
         forget(pairs, every, likely)
-        last = i + 1 == ROUNDS or many.isEmpty()
-        if not last:
-            open_ = written(led(rest.join(broadcast_if_small(many), "bucket", "left_semi")), "join-rest")
-        forget(many)
-        if last:
+        if i + 1 == ROUNDS or (open_ := led_again(open_, ok, REST)) is None:
             break
     roots = components(found)
     rows = all_.select("bucket", "node", "size", "pos")
