@@ -12,11 +12,12 @@ from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from .boosting import HistogramBoosting, parameters
 from .gram import Penalty
 
 log = logging.getLogger(__name__)
@@ -83,28 +84,13 @@ def _random_forest(params: dict[str, Any], stats: LabelStats):
     return _tree_columns(out)
 
 
-def _boosting(depth_key: str, depth: int, step: float, trees_key: str, trees: int) -> Builder:
-    def build(params: dict[str, Any], stats: LabelStats):
-        if depth_key == "num_leaves":
-            levels = math.ceil(math.log2(int(params.pop("num_leaves", 2**depth - 1))))
-        else:
-            levels = int(params.pop(depth_key, depth))
-        limit = params.pop("max_depth", None)  # also valid beside num_leaves
-        if limit and int(limit) > 0:
-            levels = min(levels, int(limit))
-        out = GBTRegressor(
-            maxDepth=_depth(levels),
-            stepSize=float(params.pop("learning_rate", step)),
-            maxIter=int(params.pop(trees_key, params.pop("n_estimators", trees))),
-            subsamplingRate=float(params.pop("subsample", 1.0)),
-            featureSubsetStrategy=_subset(params.pop("colsample_bytree", None)),
-            maxBins=int(params.pop("max_bins", 32)),
-            seed=int(params.pop("random_state", 42)),
-            checkpointInterval=10,
-        )
-        _leftover("boosting", params)
-        return _tree_columns(out)
+def _boosting(growth: str, depth_key: str, **defaults: Any) -> Builder:
+    def build(params: dict[str, Any], stats: LabelStats | None = None):
+        spec, rest = parameters(params, growth, depth_key, **defaults)
+        _leftover("boosting", rest)
+        return HistogramBoosting(spec, VECTOR, LABEL, PREDICTION)
 
+    build.side_by_side = True  # the models of all folds grow in the same passes
     return build
 
 
@@ -147,9 +133,9 @@ PENALTIES: dict[Builder, Callable[[dict[str, Any]], Penalty]] = {_ridge: _ridge_
 # Configured (module, class) names and the default parameters they stand for.
 REGISTRY: dict[tuple[str, str], Builder] = {
     ("sklearn.ensemble", "RandomForestRegressor"): _random_forest,
-    ("xgboost", "XGBRegressor"): _boosting("max_depth", 6, 0.3, "n_estimators", 100),
-    ("lightgbm", "LGBMRegressor"): _boosting("num_leaves", 5, 0.1, "n_estimators", 100),
-    ("catboost", "CatBoostRegressor"): _boosting("depth", 6, 0.03, "iterations", 1000),
+    ("xgboost", "XGBRegressor"): _boosting("by_level", "max_depth", depth=6, step=0.3, rounds=100, lambda_=1.0),
+    ("lightgbm", "LGBMRegressor"): _boosting("by_leaf", "num_leaves", leaves=31, depth=64, step=0.1, rounds=100, lambda_=0.0, least_rows=20),
+    ("catboost", "CatBoostRegressor"): _boosting("symmetric", "depth", depth=6, step=0.03, rounds=1000, lambda_=3.0),
     ("sklearn.linear_model", "Ridge"): _ridge,
     ("sklearn.linear_model", "ElasticNet"): _elastic_net,
 }

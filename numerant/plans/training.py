@@ -43,7 +43,8 @@ def cross_validate(
 ) -> DataFrame:
     """(fold, score) of a regressor on assembled rows with a fold column. Errors ('neg_' names) come out positive.
 
-    Ridge and elastic net take one scan for all folds (``gram``), and none if the matrices of the rows are given. Other fits are distributed jobs;
+    Ridge and elastic net take one scan for all folds (``gram``), and none if the matrices of the rows are given. Boosted models of all folds grow
+    side by side (``boosting``). Other fits are distributed jobs;
     ``parallelism`` of them are in flight at a time.
     """
     if scoring not in SCORINGS:
@@ -54,6 +55,9 @@ def cross_validate(
         grams = grams or fold_grams(folded, VECTOR, LABEL, FOLD)
         found = fold_scores(folded, grams, [PENALTIES[builder](dict(params))], metric, VECTOR, LABEL, FOLD)[0]
         return spark.createDataFrame([(f, s * factor) for f, s in sorted(found.items())], "fold int, score double")
+    if getattr(builder, "side_by_side", False):
+        found = builder(dict(params)).fold_scores(folded, FOLD, folds, metric)
+        return spark.createDataFrame([(f, s * factor) for f, s in sorted(found.items())], "fold int, score double")
     stats = label_stats_without(folded, FOLD)
 
     def score(fold: int) -> tuple[int, float]:
