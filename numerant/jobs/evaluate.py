@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from ..plans.evaluation import ModelEvaluator
+from ..plans.evaluation import CHART_POINTS, ModelEvaluator
 from ..sources.tables import load_processed_data
 from .common import log, parser, run
 
@@ -17,7 +17,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--output-dir", default="artifacts/evaluation")
     p.add_argument("--target-column", default="MEDV")
     p.add_argument("--include-train", action="store_true")
-    p.add_argument("--points", type=float, default=1.0, help="share of the test rows written as chart points")
+    p.add_argument("--points", type=int, default=CHART_POINTS, help="test rows written as chart points at most")
     return p.parse_args(argv)
 
 

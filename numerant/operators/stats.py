@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import as_double, numeric_columns, quoted
+from ..session import scratch_path
 from .order_stats import ColumnOrder, order_statistics, quantile_ranks, quantiles
+from .sizing import broadcast_if_small
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -184,12 +186,23 @@ def quartile_profile(df: DataFrame, columns: Sequence[str] | None = None, marks:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """(rows, duplicates): rows that equal an earlier row. Missing equals missing."""
-    counted = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    return counted.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-    )
+    """(rows, duplicates): rows that equal an earlier row. Missing equals missing.
+
+    Rows are counted by fingerprints of 128 bits; whole rows meet only where a fingerprint repeats, so that what is shuffled is 16 bytes
+    a row if few do, and rows with the same fingerprint that differ are told apart.
+    """
+    spark, columns = df.sparkSession, [quoted(c) for c in df.columns]
+    if not columns or any(isinstance(f.dataType, T.MapType) for f in df.schema):
+        raise ValueError("rows to compare need columns, and none of them a map")
+    marked = df.withColumns({f"_print{i}": F.xxhash64(F.lit(i), *columns) for i in (0, 1)})
+    prints = ["_print0", "_print1"]
+    path = scratch_path(spark, "fingerprints")
+    marked.groupBy(*prints).agg(F.count("*").alias("_n")).where("_n > 1").write.parquet(path)
+    again = spark.read.schema("_print0 long, _print1 long, _n long").parquet(path).drop("_n")
+    repeated = marked.join(broadcast_if_small(again), prints, "left_semi")
+    copies = repeated.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    found = copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates")).first()["duplicates"]
+    return df.agg(F.count("*").alias("rows"), F.lit(found).cast("bigint").alias("duplicates"))
 
 
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -18,6 +18,8 @@ from .models import PREDICTION, feature_importance, predict
 
 log = logging.getLogger(__name__)
 
+CHART_POINTS = 10_000
+
 
 def residual_points(df: DataFrame, actual: str, predicted: str, keep: Sequence[str] = ()) -> DataFrame:
     """y, prediction, residual, absolute and percentage error of every row."""
@@ -31,11 +33,12 @@ def residual_points(df: DataFrame, actual: str, predicted: str, keep: Sequence[s
     )
 
 
-def sample_points(points: DataFrame, share: float) -> DataFrame:
-    """A reproducible sample of chart points: rows whose hash falls below the share."""
-    if share >= 1:
-        return points
-    return points.where(F.pmod(F.xxhash64(*points.columns), F.lit(1_000_000)) < int(share * 1_000_000))
+def sample_points(points: DataFrame, most: int = CHART_POINTS) -> DataFrame:
+    """``most`` chart points, or all rows if there are fewer: those with the smallest hashes, the same ones however rows are dealt.
+
+    Each task keeps its ``most`` smallest and the merge keeps as many again, so what is drawn does not grow with the rows.
+    """
+    return points.orderBy(F.xxhash64(*points.columns), *points.columns).limit(most)
 
 
 def residual_histogram(points: DataFrame, bins: int = 30) -> DataFrame:
@@ -106,10 +109,10 @@ class ModelEvaluator:
             return None
         return self.metrics_["train_rmse"] - self.metrics_["test_rmse"] < -1.0
 
-    def chart_data(self, bins: int = 30, points: float = 1.0) -> dict[str, DataFrame]:
+    def chart_data(self, bins: int = 30, points: int = CHART_POINTS) -> dict[str, DataFrame]:
         """The tables behind the charts of the test rows.
 
-        ``points``: the share of rows drawn as points, the same ones each time; histograms, means and summary are of all rows.
+        ``points``: how many rows are drawn as points at most, the same ones each time; histograms, means and summary are of all rows.
         """
         if self.points_ is None:
             raise ValueError("evaluate first")
@@ -128,7 +131,7 @@ class ModelEvaluator:
             charts["feature_importance"] = importance
         return charts
 
-    def generate_report(self, folder: str, points: float = 1.0) -> str:
+    def generate_report(self, folder: str, points: int = CHART_POINTS) -> str:
         """Metrics as JSON, chart tables as Parquet (points: see ``chart_data``); returns the path of the JSON."""
         base = f"{folder.rstrip('/')}/{self.model_name}"
         save_metrics(f"{base}_metrics.json", self.metrics_, self.spark)

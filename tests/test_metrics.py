@@ -81,6 +81,16 @@ def test_histogram_edges(frame):
 def test_duplicates_count_missing_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, 2.0), (1, 2.0), (1, 2.0), (3, None)], "a int, b double")
     assert stats.duplicate_rows(df).first() == (6, 3)
+    assert stats.duplicate_rows(df.where("a > 9")).first() == (0, 0)
+
+
+def test_rows_of_one_fingerprint_are_told_apart(spark):
+    """Missing cells do not move the hash, so these rows have one fingerprint."""
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), (None, None)], "x string, y string")
+    assert df.select(stats.F.xxhash64("x", "y")).distinct().count() == 2
+    assert stats.duplicate_rows(df).first() == (4, 1)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "x double")
+    assert stats.duplicate_rows(zeros).first() == (4, 2)
 
 
 def test_null_reports(frame):

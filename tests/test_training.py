@@ -169,6 +169,9 @@ def test_evaluation_report(spark, data, trained, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ridge_model_residual_histogram_test")).count() == 30
     assert spark.read.parquet(str(tmp_path / "ridge_model_predictions_test")).count() == 30
     assert not (tmp_path / "ridge_model_feature_importance").exists()
-    assert sample_points(evaluator.points_, 1.0).count() == 30 and sample_points(evaluator.points_, 0.0).count() == 0
+    every = {tuple(r) for r in evaluator.points_.collect()}
+    some = [tuple(r) for r in sample_points(evaluator.points_, 7).collect()]
+    assert sample_points(evaluator.points_).count() == 30 and len(some) == 7 and set(some) <= every
+    assert sorted(tuple(r) for r in sample_points(evaluator.points_.repartition(5), 7).collect()) == sorted(some)
     with pytest.raises(FileNotFoundError):
         ModelEvaluator(spark, str(tmp_path / "nothing"))
