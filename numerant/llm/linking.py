@@ -53,7 +53,7 @@ def needed(total: np.ndarray, least: tuple[int, int]) -> np.ndarray:
 
 def counts(texts: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator[list[np.ndarray]]], slots: int = SLOTS) -> np.ndarray:
     """How many sets of ``texts`` have an element of each slot, on a scale of 256 steps an octave; ``slots`` numbers at any size of the corpus."""
-    part = 1 << 16
+    part = 1 << 12  # slots whose counts of all tasks meet in one task
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = np.zeros(slots, np.int64), [], 0
@@ -69,7 +69,7 @@ def counts(texts: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator
             at = np.flatnonzero(seen[p * part : (p + 1) * part])
             if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([at], pa.list_(pa.int32())), pa.array([seen[p * part + at]], pa.list_(pa.int64()))], names=["part", "at", "n"]
+                    [pa.array([p], pa.int32()), pa.array([at], pa.list_(pa.int32())), pa.array([seen[p * part + at]], pa.list_(pa.int32()))], names=["part", "at", "n"]
                 )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +80,7 @@ def counts(texts: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator
         for p, n in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([n], pa.list_(pa.int64()))], names=["part", "n"])
 
-    each = texts.mapInArrow(count, "part int, at array<int>, n array<long>").repartition("part").mapInArrow(merge, "part int, n array<long>")
+    each = texts.mapInArrow(count, "part int, at array<int>, n array<int>").repartition("part").mapInArrow(merge, "part int, n array<long>")
     total = np.zeros(-(-slots // part) * part, np.int64)
     for r in each.toArrow().to_batches():  # slots numbers in all, whatever the input
         for p, n in zip(r.column(0).to_pylist(), r.column(1)):
