@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import as_double, numeric_columns, quoted
 from ..session import scratch_path
 from .order_stats import ColumnOrder, order_statistics, quantile_ranks, quantiles
+from .pairwise import SUMS, pair_sums
 from .sizing import broadcast_if_small
 
 
@@ -252,9 +254,8 @@ def correlations(
 ) -> DataFrame:
     """(col_a, col_b, corr): Pearson over the rows where both are present, NULL for a constant column.
 
-    Each row is spread to one cell per column of ``against`` and combined map-side into one row of
-    sums per such column, so the aggregate stays small in code and in shuffle. Values are shifted
-    by the column mean first, which keeps the sums of products accurate.
+    All pairs come from the matrix products of ``pair_sums``, in one scan. Values are shifted
+    by the column mean first, which keeps the sums of products accurate; a column whose mean is not finite has no correlation.
     """
     columns = list(columns or numeric_columns(df))
     against = list(against or columns)
@@ -262,31 +263,23 @@ def correlations(
     means = {c: m["mean"] or 0.0 for c, m in basic.items()}
 
     def shifted(c: str) -> Column:
-        return as_double(c) - F.lit(means[c])
+        return as_double(c) - F.lit(means[c]) if math.isfinite(means[c]) else F.lit(None).cast("double")
 
-    # Of a square matrix the pairs on and above the diagonal: a cell meets the columns from its own on.
     square = columns == against
-    data = df.select(
-        F.array(*[shifted(c) for c in columns]).alias("a"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("col_a"), shifted(c).alias("x")) for i, c in enumerate(against)])).alias("e"),
-    ).where("e.x IS NOT NULL")
-    x = F.col("e.x")
-    pairs = []
-    for j, c in enumerate(columns):
-        y = F.when(F.col("e.i") <= j, F.get("a", F.lit(j))) if square else F.get("a", F.lit(j))
-        both = F.when(y.isNotNull(), x)
-        parts = {"n": F.count(y).cast("double"), "sx": F.sum(both), "sxx": F.sum(both * both), "sy": F.sum(y), "syy": F.sum(y * y), "sxy": F.sum(x * y)}
-        pairs.append(F.struct(F.lit(c).alias("col_b"), *[v.alias(k) for k, v in parts.items()]))
-    sums = data.groupBy("e.col_a").agg(F.array(*pairs).alias("p")).select("col_a", F.inline("p"))
+    sums = pair_sums(df, [shifted(c) for c in against], [shifted(c) for c in columns])
+    if square:  # the pairs on and above the diagonal, mirrored below
+        sums = sums.where("i <= j")
+    name = lambda names, at: F.get(F.array(*map(F.lit, names)), F.col(at))
+    sums = sums.select(name(against, "i").alias("col_a"), name(columns, "j").alias("col_b"), *SUMS)
     vx, vy, cov = (F.expr(f"{p} - try_divide({a} * {b}, n)") for p, a, b in (("sxx", "sx", "sx"), ("syy", "sy", "sy"), ("sxy", "sx", "sy")))
     # the shift of a constant column leaves nothing but rounding
     live = (vx > F.col("sxx") * 1e-14) & (vy > F.col("syy") * 1e-14)
     corr = F.when(live, F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))))
     found = sums.select("col_a", "col_b", F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr).alias("corr"))
     if square:
-        found = found.where("corr IS NOT NULL OR col_a = col_b")
-        found = found.union(found.where("col_a <> col_b").select("col_b", "col_a", "corr"))
-    # a column without any value has no group of its own
+        one, other = F.struct("col_a", "col_b", "corr"), F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+        found = found.select(F.inline(F.when(F.col("col_a") == F.col("col_b"), F.array(one)).otherwise(F.array(one, other))))
+    # a frame without rows has no sums
     grid = df.sparkSession.createDataFrame([(a, b) for a in against for b in columns], "col_a string, col_b string")
     return grid.join(F.broadcast(found), ["col_a", "col_b"], "left").select("col_a", "col_b", "corr")
 

@@ -1,10 +1,11 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from numerant.operators import metrics, stats
+from numerant.operators import metrics, pairwise, stats
 
 
 def arrays(y, p):
@@ -71,6 +72,40 @@ def test_correlations(frame):
     assert [r.column for r in first] == ["a", "b"]
 
 
+def test_correlations_of_many_columns(spark, monkeypatch):
+    """Pairwise complete, as pandas has it; the plan is as long for 250 columns as for three, blocks give the same."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 300)) + rng.normal(size=(400, 1)) + np.arange(300) * 1e4
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:, 7] = np.nan
+    names = [f"c{i}" for i in range(300)]
+    wide = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(wide).repartition(5)
+    means = {c: {"mean": None if np.isnan(wide[c].mean()) else float(wide[c].mean())} for c in names}
+    expected = wide.corr().to_numpy()
+
+    def table(cells):
+        monkeypatch.setattr(pairwise, "CELLS", cells)
+        got = stats.correlations(df, names, basic=means).toPandas()
+        assert len(got) == 90_000
+        return got.pivot(index="col_a", columns="col_b", values="corr").loc[names, names].to_numpy(dtype=float)
+
+    whole = table(2 << 20)
+    assert np.allclose(whole, expected, atol=1e-9, equal_nan=True)
+    assert np.allclose(table(120 * 300), whole, atol=1e-12, equal_nan=True)
+    nodes = lambda k: stats.correlations(df, names[:k], basic=means)._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    monkeypatch.setattr(pairwise, "CELLS", 2 << 20)
+    assert nodes(250) == nodes(3)
+
+
+def test_correlations_of_infinite_and_no_rows(frame, spark):
+    df = frame({"a": [1.0, 2.0, 4.0, None], "b": [2.0, 4.0, 8.0, 1.0], "w": [1.0, float("inf"), 2.0, 3.0]})
+    got = {(r.col_a, r.col_b): r["corr"] for r in stats.correlations(df).collect()}
+    assert got["a", "b"] == pytest.approx(1) and got["a", "w"] is None and got["w", "w"] is None
+    none = stats.correlations(df.where("a > 99")).collect()
+    assert len(none) == 9 and all(r["corr"] is None for r in none)
+
+
 def test_histogram_edges(frame):
     df = frame({"x": [0, 1, 2, 3, None], "k": [4] * 5})
     got = {(r.column, r.bin): (r["count"], r.lower, r.upper) for r in stats.histogram(df, ["x", "k"], 3).collect()}
