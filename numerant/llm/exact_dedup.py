@@ -36,6 +36,10 @@ SPACES = "\t\n\v\f\r "
 
 _GROUP = "digest binary, n long, longest long, last boolean, key long, row long"
 _INDEX = "part long, levels array<long>, bits binary, digests binary, n array<long>, longest array<long>, last array<boolean>, key array<long>, row array<long>"
+_INDEX_SCHEMA = pa.schema(  # spelled out: a part whose keys are all null would otherwise have a column of no type
+    [("part", pa.int64()), ("levels", pa.list_(pa.int64())), ("bits", pa.binary()), ("digests", pa.binary()), ("n", pa.list_(pa.int64())), ("longest", pa.list_(pa.int64()))]
+    + [("last", pa.list_(pa.bool_())), ("key", pa.list_(pa.int64())), ("row", pa.list_(pa.int64()))]
+)
 _FOUND = "digest binary, member boolean, slot long, group_size long, keep_id long, keep_row long"
 
 
@@ -105,7 +109,7 @@ def _build_part(key: tuple, part: pa.Table) -> pa.Table:
     part = part.take(pa.array(order))
     row = {"part": [key[0].as_py()], "levels": [sizes], "bits": [np.packbits(bits).tobytes()], "digests": [_joined(part.column("digest"))]}
     row |= {c: [part.column(c).to_pylist()] for c in ("n", "longest", "last", "key", "row")}
-    return pa.table(row)
+    return pa.table(row, schema=_INDEX_SCHEMA)
 
 
 def _look_up(key: tuple, new: pa.Table, index: pa.Table) -> pa.Table:

@@ -816,6 +816,14 @@ def test_exact_groups_are_those_of_brute_force(awkward, empty, monkeypatch, shar
     assert exact_dedup.exact_groups(empty, historical).collect() == []
 
 
+def test_an_index_part_whose_keys_are_all_null(spark, tmp_path):
+    rows = [(None, "a b"), (None, "c"), (None, None), (None, "ab")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    for historical in (F.lit(True), F.lit(False)):
+        found = exact_dedup.exact_groups(spark.read.parquet(str(tmp_path / "d")), historical).collect()
+        assert sorted((r.group_size, r.keep_id, r.kept) for r in found) == [(1, None, True), (1, None, True), (2, None, False), (2, None, True)]
+
+
 def test_slots_of_the_index(spark, documents):
     rows = exact_dedup.written(exact_dedup.keyed(documents), "t")
     index, parts = exact_dedup.build(rows, 200)
