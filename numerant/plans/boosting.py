@@ -1,8 +1,8 @@
 """Histogram boosting of regression trees with penalties, for one or many models in the same passes.
 
 Rows are packed once into blocks of binned features (``packed``), kept for all passes. A pass adds up, for the tree nodes that
-need it, residuals and rows per (model, node, feature, bin) in each task, and then over the tasks per (model, node, feature); what reaches the driver depends
-on nodes, features and bins, not on rows. Of two siblings only the smaller one is added up, the other is the parent less it.
+need it, residuals and rows per (model, node, feature, bin) in each task, and then over the tasks per (model, node, feature), in the driver while the sums of all tasks are
+``DRIVER_BYTES`` at most; what reaches the driver depends on nodes, features and bins, not on rows. Of two siblings only the smaller one is added up, the other is the parent less it.
 
 With G the sum of (prediction - label) and n the rows of a node, soft(G) = sign(G) max(|G| - alpha, 0), a leaf's weight is
 -soft(G) / (n + lambda), and a split gains soft(G_l)^2 / (n_l + lambda) + soft(G_r)^2 / (n_r + lambda) - soft(G)^2 / (n + lambda).
@@ -41,7 +41,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 REFRESH = 10  # trees after which predictions are written into the blocks
 BLOCK_ROWS = 10_000
-TASK_CELLS = 2_000_000  # features of rows that a task of a pass adds up at least
+TASK_CELLS = 200_000  # features of rows that a task of a pass adds up at least
+DRIVER_BYTES = 16 << 20  # of sums by task that go to the driver without being added up over the tasks first
 
 
 @dataclass(frozen=True)
@@ -280,7 +281,8 @@ def grown(blocks: DataFrame, specs: Sequence[tuple[Boosting, int | None]], width
         for i in busy:
             models[i].begin()
         while open_ := [i for i in busy if not models[i].done]:
-            found = _pass(blocks.coalesce(tasks), [(i, models[i]) for i in open_], written, round_, bins, len(models), tasks == 1)
+            size = 16 * width * bins * sum(len(models[i].wanted) for i in open_)  # of one task's sums at most
+            found = _pass(blocks.coalesce(tasks), [(i, models[i]) for i in open_], written, round_, bins, len(models), tasks == 1 or tasks * size <= DRIVER_BYTES)
             for i in open_:
                 models[i].take(found.get(i, {}))
         for i in busy:
@@ -312,8 +314,8 @@ def _refreshed(blocks: DataFrame, models: Sequence[_Growing], written: int) -> D
     return _kept(blocks.mapInArrow(add, _BLOCK))
 
 
-def _pass(blocks: DataFrame, open_: Sequence[tuple[int, _Growing]], written: int, round_: int, bins: int, models: int, alone: bool) -> dict[int, dict[int, np.ndarray]]:
-    """Sums of residuals and rows per (feature, bin) for the wanted nodes of each model; ``alone``: one task has them all."""
+def _pass(blocks: DataFrame, open_: Sequence[tuple[int, _Growing]], written: int, round_: int, bins: int, models: int, few: bool) -> dict[int, dict[int, np.ndarray]]:
+    """Sums of residuals and rows per (feature, bin) for the wanted nodes of each model; ``few``: the sums of all tasks go to the driver as they are."""
     work = [(i, m.spec, m.without, m.start, m.trees[written:], m.tree, list(m.wanted)) for i, m in open_]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,11 +350,11 @@ def _pass(blocks: DataFrame, open_: Sequence[tuple[int, _Growing]], written: int
 
     schema = "model int, node int, feature int, sums array<double>"
     sums = blocks.mapInArrow(add, schema)
-    merged = (sums if alone else sums.repartition("model", "node", "feature").mapInArrow(merge, schema)).toArrow()
+    merged = (sums if few else sums.repartition("model", "node", "feature").mapInArrow(merge, schema)).toArrow()
     out: dict[int, dict[int, np.ndarray]] = {}
     widths = {i: m.width for i, m in open_}
     for i, node, f, v in zip(*(merged.column(c).to_pylist() for c in range(3)), merged.column(3)):
-        out.setdefault(i, {}).setdefault(node, np.zeros((2, widths[i], bins)))[:, f] = v.values.to_numpy().reshape(2, bins)
+        out.setdefault(i, {}).setdefault(node, np.zeros((2, widths[i], bins)))[:, f] += v.values.to_numpy().reshape(2, bins)
     return out
 
 

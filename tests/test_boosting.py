@@ -131,3 +131,19 @@ def test_bins(spark):
     df = spark.createDataFrame([(float(i), float(i % 3)) for i in range(5000)], "u double, v double")
     edges = boosting.bin_edges(assemble(df.withColumn("y", F.lit(1.0)), ["u", "v"], "y"), VECTOR, 64)
     assert 55 <= len(edges[0]) <= 63 and edges[1].tolist() == [0.0, 1.0]
+
+
+def test_passes_use_many_tasks_and_sums_meet_in_either_place(spark, monkeypatch):
+    """400,000 cells are more than one task's; sums by task give the same trees in the driver as over the tasks."""
+    rows = spark.range(0, 200_000, 1, 4).select((F.col("id") % 101).cast("double").alias("u"), (F.col("id") % 7).cast("double").alias("v"))
+    rows = assemble(rows.withColumn("y", F.col("u") * F.col("u") - F.col("v") * 3), ["u", "v"], "y")
+    seen, one_pass = [], boosting._pass
+    monkeypatch.setattr(boosting, "_pass", lambda blocks, *a: seen.append((blocks.rdd.getNumPartitions(), a[-1])) or one_pass(blocks, *a))
+    trees = []
+    for limit in (boosting.DRIVER_BYTES, 0):
+        monkeypatch.setattr(boosting, "DRIVER_BYTES", limit)
+        trees.append(HistogramBoosting(Boosting("by_level", 2, 0.5, 3), VECTOR, LABEL, PREDICTION).fit(rows).trees)
+    half = len(seen) // 2
+    assert {n for n, _ in seen} == {2} and [few for _, few in seen] == [True] * half + [False] * half
+    for one, other in zip(*trees):
+        assert one["feature"] == other["feature"] and one["cut"] == other["cut"] and np.allclose(one["value"], other["value"])
