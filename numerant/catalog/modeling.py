@@ -224,9 +224,11 @@ SCORE_CTES = (
 
 
 def fitted_scorer(h: DataFrame) -> Scorer:
-    """Preprocessing and ridge fitted on the view."""
-    with cached(h) as h:
-        prep = DataPreprocessor(SCORE_CONFIG, ["MEDV"]).fit(h)
+    """Preprocessing and ridge fitted on the view; columns that are dropped anyway are kept as names only."""
+    gone = SCORE_CONFIG["handling_correlated_features"]["remove"]
+    with cached(h.select(*[c for c in h.columns if c not in gone])) as kept:
+        h = kept.withColumns({c: F.lit(None).cast("double") for c in gone})
+        prep = DataPreprocessor(SCORE_CONFIG, ["MEDV"]).fit(h, cache=False)
         rows = assemble(prep.transform_training(h), ["LSTAT"], "MEDV")
         model = fit_regressor(REGISTRY[("sklearn.linear_model", "Ridge")], {}, rows)
     return Scorer(prep, None, as_pipeline(model, ["LSTAT"]), "ridge", "1.0.0")

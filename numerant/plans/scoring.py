@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import quoted
-from ..functions.rules import HOUSING_FIELDS, HOUSING_RULES, Rule, violations
+from ..functions.rules import HOUSING_FIELDS, HOUSING_RULES, Rule, broken, violations
 from .features import FeatureEngineer
 from .models import PREDICTION, predict
 from .preprocessing import DataPreprocessor
@@ -18,8 +18,15 @@ VIOLATIONS = "violations"
 
 
 def validate(df: DataFrame, rules: Sequence[Rule] = HOUSING_RULES) -> DataFrame:
-    """Add the array of broken rules of each row."""
-    return df.withColumn(VIOLATIONS, violations(rules, df.columns))
+    """Add the array of broken rules of each row; texts are put together only for rows that break one."""
+    none = F.array().cast("array<string>")
+    return df.withColumn(VIOLATIONS, F.when(broken(rules, df.columns), violations(rules, df.columns)).otherwise(none))
+
+
+def parted(df: DataFrame, rules: Sequence[Rule] = HOUSING_RULES) -> tuple[DataFrame, DataFrame]:
+    """The rows that keep all rules, and the others with the array of what they break."""
+    bad = broken(rules, df.columns)
+    return df.where(~bad), df.where(bad).withColumn(VIOLATIONS, violations(rules, df.columns))
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:

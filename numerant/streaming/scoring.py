@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import HOUSING_RULES, HOUSING_SCHEMA, Rule
-from ..plans.scoring import Scorer, invalid_rows, valid_rows, validate
+from ..plans.scoring import Scorer, parted
 
 
 def read_requests(
@@ -23,7 +23,7 @@ def read_requests(
 
 def score_stream(requests: DataFrame, scorer: Scorer, passthrough: Sequence[str] = (), rules: Sequence[Rule] = HOUSING_RULES) -> DataFrame:
     """The scored valid rows of a stream: a stateless plan with fitted constants."""
-    return scorer.score(valid_rows(validate(requests, rules)), passthrough)
+    return scorer.score(parted(requests, rules)[0], passthrough)
 
 
 def start_scoring(
@@ -38,10 +38,10 @@ def start_scoring(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        validated = validate(batch, rules)
-        scored = scorer.score(valid_rows(validated), passthrough, allow_empty=True)
+        valid, invalid = parted(batch, rules)
+        scored = scorer.score(valid, passthrough, allow_empty=True)
         scored.write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
-        invalid_rows(validated).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        invalid.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "15 seconds"})).start()

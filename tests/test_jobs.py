@@ -6,10 +6,10 @@ import pytest
 import yaml
 from pyspark.sql import functions as F
 
-from numerant.functions.rules import HOUSING_FIELDS
+from numerant.functions.rules import HOUSING_FIELDS, HOUSING_RULES, violations
 from numerant.jobs import evaluate, ingest, preprocess, profile, score, train
 from numerant.plans.profile import suggested_config
-from numerant.plans.scoring import Scorer, invalid_rows, request_columns, valid_rows, validate
+from numerant.plans.scoring import Scorer, invalid_rows, parted, request_columns, valid_rows, validate
 from numerant.sources.documents import load_config, load_metrics, save_yaml
 from numerant.sources.tables import load_raw_data, load_split_data, read_table, save_split_data, target_last
 from numerant.streaming.monitor import error_rate, throughput
@@ -87,6 +87,18 @@ def test_valid_rows(requests):
     assert request_columns(requests({}).select(*reversed(HOUSING_FIELDS))).columns == HOUSING_FIELDS
 
 
+def test_parts_are_told_apart_by_plain_comparisons(requests):
+    odd = [{"CRIM": None}, {"CRIM": float("nan")}, {"CHAS": 0.5}, {"RAD": 0}, {"RM": -1, "ZN": 101, "AGE": None}, {"TAX": float("inf")}, {"B": -0.0}, {}]
+    for df in (requests(*odd), requests(*odd).withColumn("INDUS", F.expr("IF(B = 0, 'much', '3')")), requests(*odd).drop("RM")):
+        valid, invalid = parted(df)
+        texts = [violations(HOUSING_RULES, df.columns).alias("v"), *df.columns]
+        rows = df.select(*texts).collect()
+        assert sorted(str(r) for r in valid.collect()) == sorted(str(r) for r in df.select(*texts).where("size(v) = 0").drop("v").collect())
+        assert sorted(r.violations for r in invalid.collect()) == sorted(r.v for r in rows if r.v)
+        assert sorted(r.violations for r in validate(df).collect()) == sorted(r.v for r in rows)
+        assert "lambda" not in valid._jdf.queryExecution().executedPlan().toString()  # no texts for rows that keep all rules
+
+
 @pytest.fixture(scope="module")
 def project(spark, tmp_path_factory):
     """A project folder taken through ingest, preprocess and train."""
