@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_double, numeric_columns, quoted
 from ..session import scratch_path
+from . import sizing
 from .order_stats import ColumnOrder, order_statistics, quantile_ranks, quantiles
 from .pairwise import SUMS, pair_sums
-from .sizing import broadcast_if_small
+
+
+FILTER_BITS = 1 << 28  # 32 MB, whatever the number of rows
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -190,23 +193,42 @@ def quartile_profile(df: DataFrame, columns: Sequence[str] | None = None, marks:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """(rows, duplicates): rows that equal an earlier row. Missing equals missing.
 
-    Rows are counted by fingerprints of 128 bits; whole rows meet only where a fingerprint repeats, so that what is shuffled is 16 bytes
-    a row if few do, and rows with the same fingerprint that differ are told apart.
+    Rows are counted by fingerprints of 64 bits; whole rows meet only where a fingerprint repeats, so that what is shuffled is 8 bytes
+    and a count a row if few do, and rows with the same fingerprint that differ are told apart.
     """
     spark, columns = df.sparkSession, [quoted(c) for c in df.columns]
     if not columns or any(isinstance(f.dataType, T.MapType) for f in df.schema):
         raise ValueError("rows to compare need columns, and none of them a map")
-    marked = df.withColumns({f"_print{i}": F.xxhash64(F.lit(i), *columns) for i in (0, 1)})
-    prints = ["_print0", "_print1"]
+    marked = df.withColumn("_print", F.xxhash64(*columns))
     path = scratch_path(spark, "fingerprints")
-    marked.groupBy(*prints).agg(F.count("*").alias("_n")).where("_n > 1").write.parquet(path)
-    again = spark.read.schema("_print0 long, _print1 long, _n long").parquet(path).drop("_n")
-    repeated = marked.join(broadcast_if_small(again), prints, "left_semi")
+    marked.groupBy("_print").agg(F.count("*").alias("_n")).where("_n > 1").select("_print").write.parquet(path)
+    repeated = _of_prints(marked, spark.read.schema("_print long").parquet(path))
     copies = repeated.groupBy(*columns).agg(F.count("*").alias("_copies"))
     found = copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates")).first()["duplicates"]
     return df.agg(F.count("*").alias("rows"), F.lit(found).cast("bigint").alias("duplicates"))
 
 
+def _of_prints(marked: DataFrame, prints: DataFrame) -> DataFrame:
+    """The rows with one of the fingerprints, and of many fingerprints also some others: no row moves for it.
+
+    Many fingerprints are sent as a bitmap of their low bits, 16 bits for each and ``FILTER_BITS`` at most. Past that it lets more rows through.
+    """
+    spark, n = marked.sparkSession, prints.count()
+    if n <= sizing.BROADCAST_ROWS:
+        return marked.join(F.broadcast(prints), "_print", "left_semi")
+    place = f"(_print & {min(FILTER_BITS, 1 << max(12, (16 * n).bit_length())) - 1})"
+    block, word = F.expr(f"shiftright({place}, 12)"), F.expr(f"CAST(shiftright({place}, 6) & 63 AS INT)")
+    bits = prints.select(block.alias("_block"), word.alias("_word"), F.expr("shiftleft(1L, CAST(_print & 63 AS INT))").alias("_bit")).repartition("_block")
+    words = bits.groupBy("_block", "_word").agg(F.bit_or("_bit").alias("_bits")).groupBy("_block")
+    found = words.agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_set"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("_set", i), F.lit(0).cast("long")))
+    path = scratch_path(spark, "fingerprint-bits")
+    found.select("_block", filled.alias("_words")).write.parquet(path)
+    blocks = F.broadcast(spark.read.schema("_block long, _words array<long>").parquet(path))
+    set_ = F.getbit(F.get("_words", word), F.expr("CAST(_print & 63 AS INT)")) == 1
+    return marked.join(blocks, (block == F.col("_block")) & set_).drop("_block", "_words")
+
+
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(min_value, max_value) over all the columns together."""
     values = [as_double(c) for c in columns]

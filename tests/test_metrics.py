@@ -119,6 +119,21 @@ def test_duplicates_count_missing_as_equal(spark):
     assert stats.duplicate_rows(df.where("a > 9")).first() == (0, 0)
 
 
+@pytest.mark.parametrize("bits", [1 << 28, 1 << 12])
+def test_rows_do_not_move_for_many_repeated_fingerprints(spark, monkeypatch, bits):
+    """Every print of the rows is let through a bitmap, and nearly nothing else if there is room."""
+    monkeypatch.setattr(stats.sizing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(stats, "FILTER_BITS", bits)
+    df = spark.range(30_000).selectExpr("id % 25000 AS a", "CAST(id % 25000 AS STRING) AS b")
+    assert stats.duplicate_rows(df).first() == (30_000, 5_000)
+    marked = df.withColumn("_print", stats.F.xxhash64("a", "b"))
+    prints = marked.where("a < 5000").select("_print").distinct()
+    some = stats._of_prints(marked, prints)
+    assert some.columns == marked.columns and some.where("a < 5000").count() == 10_000
+    assert bits < 1 << 20 or some.count() < 15_000
+    assert "Exchange hashpartitioning" not in some._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_of_one_fingerprint_are_told_apart(spark):
     """Missing cells do not move the hash, so these rows have one fingerprint."""
     df = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), (None, None)], "x string, y string")
