@@ -29,12 +29,10 @@ def arguments(argv=None) -> argparse.Namespace:
 
 def ingest(spark, args) -> None:
     df = target_last(load_raw_data(spark, args.input), args.target)
-    key = args.key
-    if not key:
-        # number once and write: later passes and later jobs must see the same numbers
-        path = scratch_path(spark, "numbered")
-        with_row_id(df).write.parquet(path)
-        df, key = spark.read.parquet(path), [ROW_ID]
+    # cells are parsed and typed once, the passes of the split read the columns they need; row numbers must be the same in all of them
+    path = scratch_path(spark, "typed")
+    (df if args.key else with_row_id(df)).write.parquet(path)
+    df, key = spark.read.schema(df.schema if args.key else with_row_id(df).schema).parquet(path), args.key or [ROW_ID]
     labelled = split_data(df, key, args.target, args.test_size, args.random_state, args.stratify)
     save_split_data(labelled, args.output, args.target, fmt=args.format)
     parts = zip(("train", "test"), load_split_data(spark, args.output, args.target))

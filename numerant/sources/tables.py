@@ -23,8 +23,8 @@ NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
+NUMBER = r"^\s*+[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\s*+$"
+INTEGER = r"^\s*+[+-]?+\d{1,18}+\s*+$"
 
 
 def _format_of(path: str) -> str:
@@ -36,6 +36,13 @@ def _cell(name: str) -> Column:
     return F.when(~F.trim(text).isin(*NA_TOKENS), text)
 
 
+def _kind(name: str) -> Column:
+    """What a cell is: 0 missing, 1 an integer, 2 another number, 3 a text. A cell with a point is not tried as an integer."""
+    text = quoted(name)
+    number = F.when(~F.contains(text, F.lit(".")) & text.rlike(INTEGER), 1).when(text.rlike(NUMBER), 2).otherwise(3)
+    return F.when(text.isNull() | F.trim(text).isin(*NA_TOKENS), 0).otherwise(number)
+
+
 def _typed_csv(raw: DataFrame, schema: T.StructType | None, bad_cells: str = "raise") -> DataFrame:
     """Text cells to typed columns: NA texts to NULL, numbers to bigint or double.
 
@@ -55,11 +62,10 @@ def _typed_csv(raw: DataFrame, schema: T.StructType | None, bad_cells: str = "ra
             log.warning("cells that are not of their column's type, read as missing: %s", bad)
         return raw.select(*[v.alias(c) for c, v in cells.items()])
     names = raw.columns
-    seen = raw.agg(
-        *[F.coalesce(F.bool_and(_cell(c).rlike(NUMBER)), F.lit(True)).alias(f"n{i}") for i, c in enumerate(names)],
-        *[F.bool_and(F.coalesce(_cell(c).rlike(INTEGER), F.lit(False))).alias(f"i{i}") for i, c in enumerate(names)],
-    ).first()
-    types = ["bigint" if seen[f"i{i}"] else "double" if seen[f"n{i}"] else "string" for i in range(len(names))]
+    kinds = raw.select(*[_kind(c).alias(f"k{i}") for i, c in enumerate(names)])
+    seen = kinds.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in kinds.columns for f in (F.min, F.max)]).first()
+    spans = [(seen[f"min_{k}"], seen[f"max_{k}"] or 0) for k in kinds.columns]
+    types = ["bigint" if span == (1, 1) else "double" if span[1] < 3 else "string" for span in spans]
     return raw.select(*[_cell(c).cast(t).alias(c) for c, t in zip(names, types)])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from numerant.functions.rules import HOUSING_FIELDS, HOUSING_RULES, violations
 from numerant.jobs import evaluate, ingest, preprocess, profile, score, train
+from numerant.operators.split import split_data
 from numerant.plans.profile import suggested_config
 from numerant.plans.scoring import Scorer, invalid_rows, parted, request_columns, valid_rows, validate
 from numerant.sources.documents import load_config, load_metrics, save_yaml
@@ -38,6 +39,20 @@ def test_csv_scan(spark, tmp_path):
     assert typed.schema["MEDV"].dataType.simpleString() == "double"
 
 
+def test_cells_are_parsed_once_to_split(spark, tmp_path, monkeypatch):
+    """Odd cells get the types they had; the passes of the split read a typed copy, not the text."""
+    path = tmp_path / "odd.csv"
+    lines = [f"{i}, +{i} ,{i}.,1e{i % 9},{'9' * 18},{'9' * 19},{'' if i % 2 else i},{'.' if i == 3 else i},{i}.5" for i in range(40)]
+    path.write_text("k,a,b,c,d,e,f,g,MEDV\n" + "\n".join(lines) + "\n")
+    seen = []
+    monkeypatch.setattr(ingest, "split_data", lambda df, *rest: seen.append(df) or split_data(df, *rest))
+    assert ingest.main(["--input", str(path), "--output", str(tmp_path / "out"), "--key", "k"]) == 0
+    assert [t for _, t in seen[0].dtypes] == ["bigint", "bigint", "double", "double", "bigint", "double", "double", "string", "double"]
+    assert all(f.endswith(".parquet") for f in seen[0].inputFiles())
+    train, test = load_split_data(spark, str(tmp_path / "out"), "MEDV")
+    assert test.count() == 8 and sorted(r.a for r in train.unionByName(test).collect()) == list(range(40))
+
+
 def test_raw_scan_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_raw_data(spark, str(tmp_path / "nothing.csv"))
